@@ -320,9 +320,11 @@ def generations(routed: DataFrame, turn_rows: DataFrame) -> DataFrame:
     )
 
 
-def unfinished_turns(generation_rows: DataFrame) -> DataFrame:
+def unfinished_turns(generation_rows: DataFrame, turn_rows: DataFrame) -> DataFrame:
     """Turns that ended by themselves before one of their generations did."""
-    return generation_rows.where("abandoned").select(*TURN).distinct()
+    ended = turn_rows.where(~F.col("abandoned") & ~F.col("open")).select(*TURN)
+    cut = generation_rows.where("abandoned").select(*TURN).distinct()
+    return cut.join(ended, TURN, "left_semi")
 
 
 def generation_scores(generation_rows: DataFrame) -> DataFrame:

@@ -23,32 +23,35 @@ SALTS = 16
 
 def _blocks(start: Column, stop: Column) -> Column:
     """Array of (level, block): the coarsest aligned blocks inside [start, stop)."""
-    start = start.cast("bigint")
-    stop = F.least(stop.cast("bigint"), F.lit(OPEN_END))
-    parts = []
+    low_end = start.cast("bigint")
+    high_end = F.least(stop.cast("bigint"), F.lit(OPEN_END))
+    none = F.array().cast("array<bigint>")
 
-    def inner(level: int) -> tuple[Column, Column]:
-        size = F.lit(FANOUT**level)
-        low = F.floor((start + size - 1) / size).cast("bigint")
-        return low, F.floor(stop / size).cast("bigint")
-
-    for level in range(LEVELS):
-        low, high = inner(level)
-        up_low, up_high = inner(level + 1)
-        nested = (up_low < up_high) if level + 1 < LEVELS else F.lit(False)
-        left_end = F.when(nested, up_low * FANOUT).otherwise(high)
-        left = F.when(low < left_end, F.sequence(low, left_end - 1))
-        right = F.when(
-            nested & (up_high * FANOUT < high), F.sequence(up_high * FANOUT, high - 1)
+    def at_level(level: Column) -> Column:
+        size = F.pow(F.lit(float(FANOUT)), level).cast("bigint")
+        bounds = F.struct(
+            F.ceil(low_end / size).alias("low"),
+            F.floor(high_end / size).alias("high"),
+            (F.ceil(low_end / (size * FANOUT)) * FANOUT).alias("up_low"),
+            (F.floor(high_end / (size * FANOUT)) * FANOUT).alias("up_high"),
         )
-        for part in (left, right):
-            parts.append(
-                F.transform(
-                    F.coalesce(part, F.array().cast("array<bigint>")),
-                    lambda b: F.struct(F.lit(level).alias("level"), b.alias("block")),
-                )
+
+        def pieces(b: Column) -> Column:
+            nested = (b["up_low"] < b["up_high"]) & (level < LEVELS - 1)
+            left_end = F.when(nested, b["up_low"]).otherwise(b["high"])
+            left = F.when(b["low"] < left_end, F.sequence(b["low"], left_end - 1)).otherwise(none)
+            right = F.when(
+                nested & (b["up_high"] < b["high"]), F.sequence(b["up_high"], b["high"] - 1)
+            ).otherwise(none)
+            return F.transform(
+                F.concat(left, right),
+                lambda block: F.struct(level.alias("level"), block.alias("block")),
             )
-    return F.concat(*parts)
+
+        return F.transform(F.array(bounds), pieces)[0]
+
+    levels = F.array(*[F.lit(level) for level in range(LEVELS)])
+    return F.flatten(F.transform(levels, at_level))
 
 
 def latest_covering(

@@ -35,13 +35,33 @@ TOOL_KINDS = (
     "tool_execution_end",
 )
 
-EVENT_COLUMNS = (
-    "session_key string, seq bigint, event_ms bigint, kind string, prompt string, "
-    "system_prompt string, cwd string, turn_index int, request_key string, payload string, "
-    "status int, model string, provider string, role string, delta_kind string, delta string, "
-    f"text string, stop_reason string, error_message string, usage {U.USAGE}, "
-    "tool_call_id string, tool_name string, args string, result string, is_error boolean"
-)
+EVENT_COLUMNS = {
+    "session_key": "string",
+    "seq": "bigint",
+    "event_ms": "bigint",
+    "kind": "string",
+    "prompt": "string",
+    "system_prompt": "string",
+    "cwd": "string",
+    "turn_index": "int",
+    "request_key": "string",
+    "payload": "string",
+    "status": "int",
+    "model": "string",
+    "provider": "string",
+    "role": "string",
+    "delta_kind": "string",
+    "delta": "string",
+    "text": "string",
+    "stop_reason": "string",
+    "error_message": "string",
+    "usage": U.USAGE,
+    "tool_call_id": "string",
+    "tool_name": "string",
+    "args": "string",
+    "result": "string",
+    "is_error": "boolean",
+}
 
 PROMPT = ["session_key", "prompt_seq"]
 TURN = [*PROMPT, "turn_index"]
