@@ -261,7 +261,7 @@ def redact_columns(
 def neutralize_data_prefix(text: Column) -> Column:
     """Escape ``data:`` unless a base64 media address follows."""
     return F.regexp_replace(
-        text, "data:(?![^,;]+(?:;[^,;]+)*;base64,[A-Za-z0-9+/=_-]+)", r"data\\\\:"
+        text, "data:(?![^,;]+(?:;[^,;]+)*;base64,[A-Za-z0-9+/=_-]+)", r"data\\:"
     )
 
 

@@ -160,6 +160,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """A view's SQL over the driver tables it names."""
     used = {t: read(spark, sf_dir, t) for t in TABLES if re.search(rf"\bFROM {t}\b", sql)}
+    sql = sql.replace("{", "{{").replace("}", "}}")
     for table in used:
         sql = re.sub(rf"\bFROM {table}\b", f"FROM {{{table}}}", sql)
     return spark.sql(sql, **used)
