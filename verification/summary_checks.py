@@ -291,7 +291,7 @@ def standard_usage(spark, sf):
 
 
 @check(f"""SELECT conv_id, turn, name, CAST(value AS DOUBLE) AS value FROM (SELECT conv_id, turn, unnest(['input', 'total']) AS name, unnest([cost_input, cost_total]) AS value,
-  coalesce(cost_input, 0) <> 0 OR coalesce(cost_total, 0) <> 0 AS some FROM ({V.USAGE_SQL}) AS u) AS x WHERE some AND value IS NOT NULL""")
+  coalesce(cost_input, 0) <> 0 OR coalesce(cost_total, 0) <> 0 AS any_cost FROM ({V.USAGE_SQL}) AS u) AS x WHERE any_cost AND value IS NOT NULL""")
 def cost_details(spark, sf):
     rows = V.usage_rows(spark, sf)
     return rows.select("conv_id", "turn", F.explode(U.cost_details(F.col("usage.cost"))).alias("name", "value"))
