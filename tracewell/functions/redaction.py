@@ -200,6 +200,31 @@ def redact_exact(text: Column, secrets: Sequence[tuple[str, str]]) -> Column:
     return text
 
 
+def by_prefilter(shapes: Iterable[Shape]) -> list[list[Shape]]:
+    """Neighbouring shapes with the same prefilter, the others one by one."""
+    groups: list[list[Shape]] = []
+    for shape in shapes:
+        if shape.prefilter and groups and groups[-1][0].prefilter == shape.prefilter:
+            groups[-1].append(shape)
+        else:
+            groups.append([shape])
+    return groups
+
+
+def redact_together(text: Column, shapes: Sequence[Shape]) -> Column:
+    """Shapes with a common prefilter in order, the prefilter scanned for once."""
+    if len(shapes) == 1:
+        return redact_shape(text, shapes[0])
+
+    def guarded(t: Column) -> Column:
+        out = t
+        for shape in shapes:
+            out = redact_shape(out, shape)
+        return F.when(t.rlike(shapes[0].prefilter), out).otherwise(t)
+
+    return bind(text, guarded)
+
+
 def text_passes(
     secrets: Iterable[tuple[str, str]] = (), extra_shapes: Sequence[Shape] = ()
 ) -> list[Callable[[Column], Column]]:
@@ -210,21 +235,21 @@ def text_passes(
     that a shape is never cut by a shorter value inside it.
     """
 
-    def shape_pass(shape: Shape) -> Callable[[Column], Column]:
-        return lambda text: redact_shape(text, shape)
+    def shape_pass(group: list[Shape]) -> Callable[[Column], Column]:
+        return lambda text: redact_together(text, group)
 
     known = prepare_secrets(secrets)
     passes: list[Callable[[Column], Column]] = [redact_assignments]
-    passes += [shape_pass(shape) for shape in (*P.SECRET_SHAPES, *extra_shapes)]
+    passes += [shape_pass(g) for g in by_prefilter((*P.SECRET_SHAPES, *extra_shapes))]
     if known:
         passes.append(lambda text: redact_exact(text, known))
-    passes += [shape_pass(shape) for shape in P.PERSONAL_SHAPES]
+    passes += [shape_pass(g) for g in by_prefilter(P.PERSONAL_SHAPES)]
     return passes
 
 
 # Passes per projection.  Nested lambdas cost the analyzer one round each, single
 # projections cost a row copy each; a handful per projection keeps both small.
-PASSES_PER_PROJECTION = 4
+PASSES_PER_PROJECTION = 3
 
 
 def redact_columns(

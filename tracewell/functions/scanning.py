@@ -11,6 +11,7 @@ from .patterns import Shape, ascii_boundaries
 from .redaction import (
     _assignment_part,
     bind,
+    by_prefilter,
     is_sensitive_key,
     may_assign,
     may_match,
@@ -105,7 +106,17 @@ def findings(
 
     def collect(t: Column) -> Column:
         shapes = (*P.SECRET_SHAPES, *extra_shapes, *P.PERSONAL_SHAPES)
-        counted = [_finding(F.lit(s.reason), count_shape(t, s)) for s in shapes]
+        counted, scanned = [], []
+        for group in by_prefilter(shapes):
+            found = [_finding(F.lit(s.reason), count_shape(t, s)) for s in group]
+            if group[0].prefilter:
+                scanned.append(
+                    F.when(t.rlike(group[0].prefilter), F.array(*found).cast(FINDINGS)).otherwise(
+                        F.array().cast(FINDINGS)
+                    )
+                )
+            else:
+                counted += found
         exact = [
             _finding(
                 F.coalesce(
@@ -116,7 +127,9 @@ def findings(
             )
             for value, reason in prepare_secrets(secrets)
         ]
-        fixed = F.filter(F.array(*counted, *exact), lambda f: f["count"] > 0)
+        fixed = F.filter(
+            F.concat(F.array(*counted, *exact).cast(FINDINGS), *scanned), lambda f: f["count"] > 0
+        )
         named = F.transform(
             F.concat(json_field_reasons(t), assignment_reasons(t)),
             lambda reason: _finding(reason, F.lit(1)),
