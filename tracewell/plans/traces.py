@@ -14,6 +14,7 @@ from .workspace import materialize
 class TraceTables:
     assigned: DataFrame
     prompts: DataFrame
+    spans: DataFrame
     turns: DataFrame
     message_ends: DataFrame
     tools: DataFrame
@@ -36,7 +37,7 @@ def build_traces(events: DataFrame) -> TraceTables:
     generations = materialize(G.generations(routed, spans), "generations")
     turns = T.turn_records(spans, ends)
     traces = T.rollup(assigned, prompts, spans, tools, ends, G.unfinished_turns(generations, spans))
-    return TraceTables(assigned, prompts, turns, ends, tools, generations, traces)
+    return TraceTables(assigned, prompts, spans, turns, ends, tools, generations, traces)
 
 
 def event_defaults(events: DataFrame) -> DataFrame:

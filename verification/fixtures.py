@@ -112,7 +112,7 @@ WHERE kind IS NOT NULL
 RANDOM_STREAM_ORACLE = """
 SELECT CAST(user_id AS STRING) AS session_key,
   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq,
-  epoch_ms(ts) AS event_ms, event_id, event_type, value FROM events
+  epoch_us(ts) // 1000 AS event_ms, event_id, event_type, value FROM events
 """
 RANDOM_KIND = """
 CASE event_type WHEN 'signup' THEN 'before_agent_start' WHEN 'view' THEN 'turn_start'
