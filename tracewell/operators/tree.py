@@ -315,7 +315,7 @@ def measure_depth(df: DataFrame, column: str) -> int:
     return int(row["depth"] or 0)
 
 
-_NODES = "__nodes"
+_NODES = "__tree_nodes"
 
 
 def _masked_text(n: Column, bounded: bool) -> Column:
@@ -355,9 +355,9 @@ def shape_json(
     :func:`measure_depth` for a depth that walks everything.
     """
     walk = _Walk(redact, limits or Limits(), field_of, captured or (lambda f: F.lit(True)))
-    nodes = df.withColumn("__v", F.try_parse_json(F.col(column))).withColumn(
-        _NODES, F.when(F.col("__v").isNotNull(), walk.root(F.col("__v")))
-    ).drop("__v")
+    nodes = df.withColumn("__tree_root", F.try_parse_json(F.col(column))).withColumn(
+        _NODES, F.when(F.col("__tree_root").isNotNull(), walk.root(F.col("__tree_root")))
+    ).drop("__tree_root")
     todo = F.exists(F.col(_NODES), lambda n: n["state"] == "todo")
     opened = F.flatten(
         F.transform(
@@ -398,12 +398,12 @@ def shape_json(
     slim = nodes.withColumn(_NODES, F.transform(F.col(_NODES), leaf))
     if redact:
         texts = slim.withColumn(
-            "__texts",
+            "__tree_texts",
             F.transform(
                 F.filter(F.col(_NODES), lambda n: n["state"] == "text"), lambda n: n["text"]
             ),
         )
-        slim = _return_texts(redact_columns(texts, "__texts", secrets=secrets))
+        slim = _return_texts(redact_columns(texts, "__tree_texts", secrets=secrets))
     bound = limits or Limits()
 
     def cut(n: Column) -> Column:
@@ -446,16 +446,16 @@ def _return_texts(df: DataFrame) -> DataFrame:
     at = F.array_compact(
         F.transform(F.col(_NODES), lambda n, i: F.when(n["state"] == "text", i))
     )
-    df = df.withColumn("__at", F.map_from_arrays(at, F.col("__texts")))
+    df = df.withColumn("__tree_at", F.map_from_arrays(at, F.col("__tree_texts")))
     return df.withColumn(
         _NODES,
         F.transform(
             F.col(_NODES),
             lambda n, i: F.when(
-                n["state"] == "text", n.withField("text", F.col("__at")[i])
+                n["state"] == "text", n.withField("text", F.col("__tree_at")[i])
             ).otherwise(n),
         ),
-    ).drop("__at", "__texts")
+    ).drop("__tree_at", "__tree_texts")
 
 
 def shape_trace(df: DataFrame, column: str, out: str, policy: str | Column = policies.DEFAULT_POLICY, **options) -> DataFrame:

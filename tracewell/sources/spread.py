@@ -1,0 +1,15 @@
+"""Spread an input that comes in fewer splits than there are cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute the rows of a small input over all cores before heavy row work.
+
+    Text scanning costs far more per byte than a shuffle.  An input in enough splits,
+    which is every input of cluster size, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

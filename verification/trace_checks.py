@@ -271,12 +271,12 @@ r0 AS (SELECT p.*, coalesce(tc.turns, 0) AS turns, coalesce(calls, 0) AS tool_ca
 rolled AS MATERIALIZED (SELECT *, CASE WHEN end_seq IS NULL THEN 'open' WHEN failure IS NOT NULL THEN 'failed' WHEN reason IS NOT NULL THEN 'abandoned' ELSE 'completed' END AS verdict,
   CASE WHEN failure IS NOT NULL THEN concat('agent ', string_split(failure, '|')[1], CASE WHEN failure LIKE '%|' THEN '' ELSE concat(': ', string_split(failure, '|')[2]) END) WHEN reason IS NOT NULL THEN concat('prompt abandoned during ', reason) END AS status_message FROM r0)
 """
-_LIFE_ROLLUP = GENS + ", cut_gens AS (SELECT * FROM gens WHERE abandoned AND NOT turn_abandoned)" + _ROLLUP
+LIFE_ROLLUP = GENS + ", cut_gens AS (SELECT * FROM gens WHERE abandoned AND NOT turn_abandoned)" + _ROLLUP
 _RANDOM_ROLLUP = RANDOM + ", cut_gens AS (SELECT * FROM spans WHERE false)" + _ROLLUP
 
 
 def _both_rollups(name, final, query):
-    for stream, ctes in (("lifecycle", _LIFE_ROLLUP), ("random", _RANDOM_ROLLUP)):
+    for stream, ctes in (("lifecycle", LIFE_ROLLUP), ("random", _RANDOM_ROLLUP)):
 
         def run(spark, sf, stream=stream):
             return query(tables(spark, sf, stream))
@@ -297,7 +297,7 @@ _both_rollups("health_scores", """SELECT session_key, prompt_seq, name, value FR
 # --- traces and observations ------------------------------------------------------------
 
 _TRACE = "substr(sha256(concat(session_key, '|', CAST(prompt_seq AS VARCHAR))), 1, 32)"
-_REGISTRY = _LIFE_ROLLUP + f""", ids AS (
+_REGISTRY = LIFE_ROLLUP + f""", ids AS (
   SELECT {_TRACE} AS trace_id, 'root' AS part, 'agent.prompt' AS name, 'SPAN' AS type, '' AS parent_part, CASE WHEN verdict IN ('failed', 'abandoned') THEN 'ERROR' ELSE 'DEFAULT' END AS level, start_ms FROM rolled
   UNION ALL SELECT {_TRACE}, concat('turn|', CAST(turn_index AS VARCHAR)), 'agent.turn', 'SPAN', 'root', CASE WHEN abandoned OR stop_reason IS NOT NULL THEN 'ERROR' ELSE 'DEFAULT' END, start_ms FROM turns
   UNION ALL SELECT {_TRACE}, concat('tool|', tool_call_id), NULL, 'SPAN', CASE WHEN turn_index IS NULL THEN 'root' ELSE concat('turn|', CAST(turn_index AS VARCHAR)) END, CASE WHEN is_error THEN 'ERROR' ELSE 'DEFAULT' END, start_ms FROM tools
