@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.scanning import count_findings, findings_by_record
+from ..functions.scanning import findings, findings_by_record
 
 # --- fixed values: keys that mark a line of an external scanner as a finding ------
 DETECTOR_KEYS = ("DetectorName", "SourceMetadata", "Raw", "Redacted")
@@ -24,14 +24,45 @@ def residual_gate(records: DataFrame, residual: DataFrame, keys: Sequence[str])
 
 
 def audit(df: DataFrame, before: str, after: str, keys: Sequence[str]) -> DataFrame:
-    """Findings and bytes before and after redaction per key, and the verdict."""
-    sizes = df.groupBy(*keys).agg(
-        F.sum(F.octet_length(before)).cast("bigint").alias("input_bytes"),
-        F.sum(F.octet_length(after)).cast("bigint").alias("output_bytes"),
+    """Findings and bytes before and after redaction per key, and the verdict.
+
+    Both texts are scanned in the same pass over the rows; what is counted goes
+    through one aggregation by (key, stage, reason) that combines map-side.
+    """
+
+    def counted(stage: str, column: str):
+        return F.transform(
+            findings(F.col(column)),
+            lambda f: F.struct(F.lit(stage).alias("stage"), f["reason"].alias("reason"), f["count"].alias("n")),
+        )
+
+    def sized(stage: str, column: str):
+        size = F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint")
+        return F.struct(F.lit(stage).alias("stage"), F.lit("").alias("reason"), size.alias("n"))
+
+    facts = F.concat(
+        F.array(sized("in", before), sized("out", after)), counted("pre", before), counted("post", after)
+    )
+    sums = (
+        df.select(*keys, F.explode(facts).alias("fact"))
+        .groupBy(*keys, "fact.stage", "fact.reason")
+        .agg(F.sum("fact.n").alias("count"))
+    )
+
+    def found(stage: str):
+        kept = F.when(F.col("stage") == stage, F.struct("reason", "count"))
+        listed = F.array_sort(F.collect_list(kept))
+        return F.when(F.size(listed) > 0, listed)
+
+    files = sums.groupBy(*keys).agg(
+        F.max(F.when(F.col("stage") == "in", F.col("count"))).alias("input_bytes"),
+        F.max(F.when(F.col("stage") == "out", F.col("count"))).alias("output_bytes"),
+        found("pre").alias("pre_findings"),
+        found("post").alias("residual_findings"),
+    )
+    return files.withColumn(
+        "status", F.when(F.col("residual_findings").isNull(), APPROVED).otherwise(REJECTED)
     )
-    pre = findings_by_record(count_findings(df, before, keys), keys, "pre_findings")
-    residual = count_findings(df, after, keys)
-    return residual_gate(sizes.join(pre, list(keys), "left"), residual, keys)
 
 
 def scanner_findings(lines: DataFrame, column: str) -> DataFrame:

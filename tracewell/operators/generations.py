@@ -134,30 +134,34 @@ class TurnRouter:
 
 _ROUTES = (
     "session_key string, prompt_seq bigint, turn_index int, run bigint, step string, "
-    "request_key string, first_seq bigint, from_position bigint, to_position bigint, "
+    "request_key string, from_position bigint, to_position bigint, "
     "generation int, generation_key string, effect string"
 )
 
 
-def _route_turn(steps: pd.DataFrame) -> pd.DataFrame:
-    steps = steps.sort_values("first_seq")
-    head = steps.iloc[0]
-    router = TurnRouter(int(head.turn_index))
-    out = []
-    for row in steps.itertuples(index=False):
-        position = row.from_position
-        for generation, count, effect in router.take(
-            row.step, row.request_key, row.fingerprint, int(row.events)
-        ):
-            out.append(
-                (
-                    head.session_key, head.prompt_seq, head.turn_index, row.run, row.step,
-                    row.request_key, row.first_seq, position, position + count - 1,
-                    generation, router.keys[generation] if generation >= 0 else None, effect,
+def _route_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Route steps that come sorted by turn and order; only the current turn is kept."""
+    turn, router = None, None
+    names = [c.split()[0] for c in _ROUTES.split(", ")]
+    for steps in batches:
+        out = []
+        for row in steps.itertuples(index=False):
+            here = (row.session_key, row.prompt_seq, row.turn_index)
+            if here != turn:
+                turn, router = here, TurnRouter(int(row.turn_index))
+            position = row.from_position
+            for generation, count, effect in router.take(
+                row.step, row.request_key, row.fingerprint, int(row.events)
+            ):
+                key = router.keys[generation] if generation >= 0 else None
+                out.append(
+                    (
+                        *here, row.run, row.step, row.request_key, position,
+                        position + count - 1, generation, key, effect,
+                    )
                 )
-            )
-            position += count
-    return pd.DataFrame(out, columns=[c.split()[0] for c in _ROUTES.split(", ")])
+                position += count
+        yield pd.DataFrame(out, columns=names)
 
 
 def route(events: DataFrame) -> DataFrame:
@@ -179,10 +183,13 @@ def route(events: DataFrame) -> DataFrame:
         F.count("*").alias("events"),
         F.min_by("payload", "seq").alias("fingerprint"),
     )
-    routes = steps.groupBy(*TURN).applyInPandas(_route_turn, _ROUTES)
-    joined = placed.join(
-        routes.drop("first_seq"), [*TURN, "run", "step", "request_key"]
+    # Turns stream through a task one after the other, whatever their size.
+    routes = (
+        steps.repartition(*TURN)
+        .sortWithinPartitions(*TURN, "first_seq")
+        .mapInPandas(_route_sorted, _ROUTES)
     )
+    joined = placed.join(routes, [*TURN, "run", "step", "request_key"])
     in_range = ~is_delta | F.col("position").between(F.col("from_position"), F.col("to_position"))
     return joined.where(in_range).select(
         *events.columns, "generation", "generation_key", "effect"
