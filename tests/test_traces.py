@@ -12,7 +12,7 @@ def events(spark, rows):
                "result string, is_error boolean, status int, system_prompt string, cwd string")
     names = [c.split()[0] for c in columns.split(", ")]
     data = [
-        tuple({"session_key": "s", "seq": i, "event_ms": 1000 * i, "kind": kind, **values}.get(n) for n in names)
+        tuple({"session_key": "s", "seq": i, "event_ms": 1000 * (i + 1), "kind": kind, **values}.get(n) for n in names)
         for i, (kind, values) in enumerate(rows)
     ]
     return spark.createDataFrame(data, columns)
