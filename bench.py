@@ -13,6 +13,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tracewell.deploy import ship_package
 from tracewell.functions.policy import Limits
 from tracewell.functions.redaction import redact_columns
 from tracewell.functions.scanning import count_findings
@@ -39,6 +40,7 @@ def session() -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package()
     return spark
 
 

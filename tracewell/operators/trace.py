@@ -101,43 +101,60 @@ def prompt_signature(prompt: Column, system_prompt: Column, cwd: Column) -> Colu
     )
 
 
-def assign_prompts(events: DataFrame, chunk: Column | None = None) -> DataFrame:
-    """Add ``prompt_seq`` (start of the prompt in force, null outside of any),
-    ``starts`` (opens a prompt), ``repeats`` (a start like the open prompt, ignored)
-    and ``closes`` (start of the prompt this event ends).
+def _is_boundary() -> Column:
+    return F.col("kind").isin(PROMPT_START, *CLOSING_REASONS)
+
+
+def mark_boundaries(events: DataFrame, chunk: Column | None = None) -> DataFrame:
+    """The few events that open or close prompts: ``starts``, ``repeats`` (a start like
+    the open prompt, ignored) and ``mark`` (the prompt in force afterwards, -1 for none).
+
+    Prompts are compared by digest, so only keys and digests travel.
     """
     is_start = F.col("kind") == PROMPT_START
-    is_boundary = is_start | F.col("kind").isin(*CLOSING_REASONS)
     signature = F.when(
         is_start, prompt_signature(F.col("prompt"), F.col("system_prompt"), F.col("cwd"))
     ).otherwise(F.lit(""))
     boundaries = running(
-        events.where(is_boundary).withColumn("__signature", signature),
+        events.where(_is_boundary()).select("session_key", "seq", "kind", signature.alias("signature")),
         ["session_key"],
         ["seq"],
-        {"__before": Running("last", F.col("__signature"), exclusive=True)},
+        {"before": Running("last", F.col("signature"), exclusive=True)},
         chunk,
     )
-    repeats = is_start & F.col("__before").eqNullSafe(F.col("__signature"))
-    marked = boundaries.withColumns(
-        {
-            "starts": is_start & ~repeats,
-            "repeats": repeats,
-            "__mark": F.when(~is_start, F.lit(-1)).when(~repeats, F.col("seq")).cast("bigint"),
-        }
-    ).drop("__before", "__signature")
-    rest = events.where(~is_boundary).withColumns(
+    repeats = is_start & F.col("before").eqNullSafe(F.col("signature"))
+    return boundaries.select(
+        "session_key",
+        "seq",
+        (is_start & ~repeats).alias("starts"),
+        repeats.alias("repeats"),
+        F.when(~is_start, F.lit(-1)).when(~repeats, F.col("seq")).cast("bigint").alias("mark"),
+    )
+
+
+def assign_prompts(
+    events: DataFrame, marks: DataFrame | None = None, chunk: Column | None = None
+) -> DataFrame:
+    """Add ``prompt_seq`` (start of the prompt in force, null outside of any),
+    ``starts``, ``repeats`` and ``closes`` (start of the prompt this event ends).
+
+    ``marks`` is :func:`mark_boundaries` of the events, as a stage table if there is one.
+    """
+    if marks is None:
+        marks = mark_boundaries(events, chunk)
+    marked = events.where(_is_boundary()).join(marks, ["session_key", "seq"])
+    rest = events.where(~_is_boundary()).withColumns(
         {
             "starts": F.lit(False),
             "repeats": F.lit(False),
-            "__mark": F.lit(None).cast("bigint"),
+            "mark": F.lit(None).cast("bigint"),
         }
     )
     placed = running(
         marked.unionByName(rest),
         ["session_key"],
         ["seq"],
-        {"__open": Running("last", F.col("__mark"), exclusive=True)},
+        {"__open": Running("last", F.col("mark"), exclusive=True)},
         chunk,
     )
     before = F.nullif(F.col("__open"), F.lit(-1).cast("bigint"))
@@ -146,7 +163,7 @@ def assign_prompts(events: DataFrame, chunk: Column | None = None) -> DataFrame:
         "starts",
         "repeats",
         F.when(F.col("starts"), F.col("seq")).otherwise(before).alias("prompt_seq"),
-        F.when(F.col("starts") | (F.col("__mark") == -1), before).alias("closes"),
+        F.when(F.col("starts") | (F.col("mark") == -1), before).alias("closes"),
     )
 
 

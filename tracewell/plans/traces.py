@@ -28,7 +28,9 @@ def build_traces(events: DataFrame) -> TraceTables:
     Each stage reads the few stage tables it needs; every event is shuffled for the
     prompt assignment and once more for the aggregation it takes part in.
     """
-    assigned = materialize(T.assign_prompts(event_defaults(events)), "assigned")
+    events = event_defaults(events)
+    marks = materialize(T.mark_boundaries(events), "marks")
+    assigned = materialize(T.assign_prompts(events, marks), "assigned")
     prompts = materialize(T.prompts(assigned), "prompts")
     spans = materialize(T.turns(assigned, prompts), "turns")
     ends = materialize(T.message_ends(assigned, spans), "message-ends")

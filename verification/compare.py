@@ -10,6 +10,7 @@ import time
 import duckdb
 from pyspark.sql import SparkSession
 
+from tracewell.deploy import ship_package
 from .fixtures import TABLES
 from .registry import ORACLES, QUERIES
 
@@ -38,6 +39,7 @@ def session(cores: int = 8) -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package()
     return spark
 
 
