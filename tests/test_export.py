@@ -58,3 +58,25 @@ def test_export_job(spark):
 def test_missing_folders(spark):
     assert read_lines(spark, "/tmp/there-is-no-such-folder").count() == 0
     assert read_layers(spark, None, None).count() == 0
+
+
+def test_raw_trace_stream_appends_once(spark):
+    from tracewell.sources.raw_trace import shaped_records, stream_records
+
+    root = tree({})
+    rows = [
+        ("/home/u/sessions/p/s1.jsonl", json.dumps({"type": "tool_call", "args": {"password": "hunter2"}, "text": "hi"})),
+        ("/elsewhere/s2.jsonl", json.dumps({"type": "session_start"})),
+        (None, json.dumps({"type": "session_start"})),
+    ]
+    schema = "session_file string, record string"
+    spark.createDataFrame(rows, schema).write.parquet(str(root / "in"))
+    source = spark.readStream.schema(schema).parquet(str(root / "in"))
+    for _ in range(2):  # the second run finds nothing new
+        records = shaped_records(source, "conversations", depth=3)
+        stream_records(records, str(root / "raw"), str(root / "checkpoint")).awaitTermination()
+    got = {(r.project, r.session, r.value) for r in spark.read.text(str(root / "raw")).collect()}
+    assert got == {
+        ("p", "s1.jsonl", '{"text":"hi","type":"tool_call"}'),
+        ("--unknown--", "s2.jsonl", '{"type":"session_start"}'),
+    }
