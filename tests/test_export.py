@@ -48,6 +48,11 @@ def test_export_job(spark):
     index = spark.read.json(str(root / "out" / "training-index"))
     assert index.count() == 2 and {r.format for r in index.collect()} == {"redacted-jsonl-derivative"}
 
+    # known values are redacted and counted as well
+    known = run(spark, root, secrets=[("not-json-but-known", "vault"), ("no json DB_", "label")])[1]
+    assert ("label", 1) in {(f.reason, f["count"]) for f in known["sessions/p/a.jsonl"].pre_findings}
+    assert known["sessions/p/a.jsonl"].status == "approved"
+
     # a finding of the external scanner, or a required scanner that did not run, rejects all
     scanner = spark.createDataFrame([('{"DetectorName":"X","Raw":"r"}',), ('{"level":"info","Raw":"r"}',)], "line string")
     assert run(spark, root, scanner_lines=scanner)[0].rejected == 2

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewell.functions import redaction as R, scanning as S
+from tracewell.functions.patterns import Shape
 
 
 def mark(reason, value):
@@ -63,3 +64,11 @@ def test_scan_counts_fields_and_known_values(spark):
 ])
 def test_sensitive_keys(spark, key, secret):
     assert spark.range(1).select(R.is_sensitive_key(F.lit(key)).alias("s")).first().s is secret
+
+
+def test_own_shapes(spark):
+    ticket = Shape("ticket-id", r"\bTCK-\d{6}\b", needles=("TCK-",))
+    rows = spark.createDataFrame([("see TCK-123456 and TCK-12",)], "text string")
+    assert R.redact_columns(rows, "text", extra_shapes=[ticket]).first().text == f"see {mark('ticket-id', 'TCK-123456')} and TCK-12"
+    found = S.count_findings(rows, "text", [], extra_shapes=[ticket]).collect()
+    assert [(r.reason, r["count"]) for r in found] == [("ticket-id", 1)]

@@ -144,13 +144,14 @@ def count_findings(
     text: str,
     keys: Sequence[str],
     secrets: Iterable[tuple[str, str]] = (),
+    extra_shapes: Sequence[Shape] = (),
 ) -> DataFrame:
     """Findings of a text column added up by ``keys`` and reason.
 
     Rows without a hit emit nothing and the sums combine map-side, so only hit
     counts cross the shuffle.
     """
-    hits = df.select(*keys, F.explode(findings(F.col(text), secrets)).alias("hit"))
+    hits = df.select(*keys, F.explode(findings(F.col(text), secrets, extra_shapes)).alias("hit"))
     return hits.groupBy(*keys, F.col("hit.reason").alias("reason")).agg(
         F.sum("hit.count").alias("count")
     )

@@ -23,7 +23,13 @@ def residual_gate(records: DataFrame, residual: DataFrame, keys: Sequence[str])
     )
 
 
-def audit(df: DataFrame, before: str, after: str, keys: Sequence[str]) -> DataFrame:
+def audit(
+    df: DataFrame,
+    before: str,
+    after: str,
+    keys: Sequence[str],
+    secrets: Sequence[tuple[str, str]] = (),
+) -> DataFrame:
     """Findings and bytes before and after redaction per key, and the verdict.
 
     Both texts are scanned in the same pass over the rows; what is counted goes
@@ -32,7 +38,7 @@ def audit(df: DataFrame, before: str, after: str, keys: Sequence[str]) -> DataFr
 
     def counted(stage: str, column: str):
         return F.transform(
-            findings(F.col(column)),
+            findings(F.col(column), secrets),
             lambda f: F.struct(F.lit(stage).alias("stage"), f["reason"].alias("reason"), f["count"].alias("n")),
         )
 

@@ -37,9 +37,9 @@ def redact_lines(
     )
 
 
-def manifest(clean_lines: DataFrame) -> DataFrame:
+def manifest(clean_lines: DataFrame, secrets: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """One row per file: bytes, findings before and after, approved or rejected."""
-    return gates.audit(clean_lines, "value", "clean", FILE_KEYS)
+    return gates.audit(clean_lines, "value", "clean", FILE_KEYS, secrets)
 
 
 def training_index(approved: DataFrame) -> DataFrame:
@@ -97,7 +97,7 @@ def export_redacted(
     )
     found = None if scanner_lines is None else gates.scanner_findings(scanner_lines, "line")
     rows = materialize(
-        gates.external_gate(manifest(clean), found, scanner_warning, scanner_required), "manifest"
+        gates.external_gate(manifest(clean, secrets), found, scanner_warning, scanner_required), "manifest"
     )
     approved = rows.where(F.col("status") == gates.APPROVED)
     outputs = {
