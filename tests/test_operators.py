@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from tracewell.operators import delivery as D, generations as G, ordered as O
 from tracewell.operators.intervals import latest_covering
 from tracewell.operators.running import Running, running
-from tracewell.operators.trace import TURN
 
 
 def test_running_over_chunks(spark):

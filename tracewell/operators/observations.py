@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .trace import PROMPT
-
 ROOT_NAME = "agent.prompt"
 TURN_NAME = "agent.turn"
 GENERATION_NAME = "llm-response"

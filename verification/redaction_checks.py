@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracewell.functions import patterns as P, redaction as R, scanning as S, summaries as M
+from tracewell.functions import patterns as P, redaction as R, scanning as S
 from tracewell.operators import gates
 from . import fixtures as V
 from .registry import check
 from .sqltext import (
-    ASSIGNMENT, assigned_value, assignment_step, blob_mark, chain, finding_rows, luhn, mark,
+    ASSIGNMENT, assigned_value, assignment_step, blob_mark, chain, finding_rows, mark,
     normalized, part, q, redaction_steps, sensitive, shape_step,
 )
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, Window as W
+from pyspark.sql import functions as F
 
-from tracewell.functions import identity as I, patterns as P, redaction as R, summaries as M, usage as U
+from tracewell.functions import identity as I, redaction as R, summaries as M, usage as U
 from tracewell.operators import messages as X
 from . import fixtures as V
 from .registry import check
-from .sqltext import chain, q, redaction_steps
+from .sqltext import chain, redaction_steps
 
 _STEPS = redaction_steps()
 
