@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from . import sharding
+from . import packing, sharding, warc
 
-QUERIES = {"op1_jump_hash_shards": sharding.query}
+QUERIES = {
+    "op1_jump_hash_shards": sharding.query,
+    "op2_warc_dictionary": warc.query,
+    "op10_complement_packing": packing.query,
+}
 
-ORACLES = {"op1_jump_hash_shards": sharding.SQL}
+ORACLES = {"op1_jump_hash_shards": sharding.SQL, "op2_warc_dictionary": warc.SQL}
