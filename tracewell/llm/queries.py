@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import packing, sharding, warc
+from . import ngram_join, packing, sharding, warc
 
 QUERIES = {
     "op1_jump_hash_shards": sharding.query,
     "op2_warc_dictionary": warc.query,
+    "op6_count_vector_join": ngram_join.query,
     "op10_complement_packing": packing.query,
 }
 
-ORACLES = {"op1_jump_hash_shards": sharding.SQL, "op2_warc_dictionary": warc.SQL}
+ORACLES = {"op1_jump_hash_shards": sharding.SQL, "op2_warc_dictionary": warc.SQL, "op6_count_vector_join": ngram_join.SQL}
