@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import ngram_join, packing, sharding, warc
+from . import classifier, langid, ngram_join, packing, quality, sharding, warc
 
 QUERIES = {
     "op1_jump_hash_shards": sharding.query,
     "op2_warc_dictionary": warc.query,
+    "op5_histogram_quality": quality.query,
     "op6_count_vector_join": ngram_join.query,
+    "op7_ftrl_quality": classifier.query,
+    "op9_backoff_language": langid.query,
     "op10_complement_packing": packing.query,
 }
 
