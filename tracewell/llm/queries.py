@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import classifier, langid, ngram_join, packing, quality, sharding, warc
+from . import bpe, classifier, langid, ngram_join, packing, quality, secrets, sharding, warc
 
 QUERIES = {
     "op1_jump_hash_shards": sharding.query,
     "op2_warc_dictionary": warc.query,
+    "op3_lexicon_bpe": bpe.query,
+    "op4_markov_secrets": secrets.query,
     "op5_histogram_quality": quality.query,
     "op6_count_vector_join": ngram_join.query,
     "op7_ftrl_quality": classifier.query,
