@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tracewell.plans.workspace import stage_path
 
-from .common import map_batches, table
+from .common import map_batches, once_per_worker, table
 
 #: Words in the lexicon, and the least share of a task's words that a word needs to be counted in it.
 LEXICON_WORDS, LEAST_SHARE = 1 << 16, 1e-5
@@ -36,7 +36,7 @@ REMEMBERED, AT_ONCE, LONG_WORD = 300_000, 2 << 20, 256
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 #: Beyond these blocks libraries differ by their version of Unicode; there the tokenizer's own one decides.
-UNLIKE = re.compile("[^\u0000-ɏͰ-ͳΆ-ώА-я‐- ₠-₿ぁ-ゖァ-ヺ一-龥가-힣]")
+UNLIKE = re.compile("[^\u0000-\u024f\u0370-\u0373\u0386-\u03ce\u0410-\u044f\u2010-\u205f\u20a0-\u20bf\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]")
 
 _LETTERS_ONLY = bytes(32 if b < 128 and not (65 <= b <= 90 or 97 <= b <= 122) else b for b in range(256))
 
@@ -381,16 +381,9 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, words: int = LEXICON_WOR
     return path
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder_for(tokenizer_path: str, lexicon_path: str) -> Encoder:
     """One per worker process and lexicon."""
-    key = (tokenizer_path, lexicon_path)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(tokenizer_path, Lexicon.load(lexicon_path))
-    return _ENCODERS[key]
+    return once_per_worker(("bpe", tokenizer_path, lexicon_path), lambda: Encoder(tokenizer_path, Lexicon.load(lexicon_path)))
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, lexicon_path: str, with_ids: bool = True) -> DataFrame:

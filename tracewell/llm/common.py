@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import sys
+import types
+from collections.abc import Callable, Hashable, Iterator, Sequence
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -28,6 +31,21 @@ def map_batches(
     return df.mapInArrow(function, schema)
 
 
+Held = TypeVar("Held")
+
+
+def once_per_worker(key: Hashable, make: Callable[[], Held]) -> Held:
+    """The object of this key, made at its first use in a worker process.
+
+    A package that travels by value has new globals in every task, so the object is kept beside
+    the interpreter's modules.
+    """
+    held = sys.modules.setdefault("_held_by_worker", types.SimpleNamespace(objects={})).objects
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def id_remainder(column: str | Column, modulus: int) -> Column:
     """crc32 of an id as text, modulo; -1 for a null id, which belongs to no fold."""
     return F.coalesce(F.crc32(F.col(column).cast("string") if isinstance(column, str) else column.cast("string")) % modulus, F.lit(-1))

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_batches, number_from_zero, stage, table
+from .common import map_batches, number_from_zero, once_per_worker, stage, table
 
 SEQUENCE = 2048
 END_ID = 0
@@ -50,7 +50,7 @@ class Encoder:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
             # letters, digits and spaces beyond these planes and blocks are the same in every Unicode version
-            self.unlike = re.compile("[^\u0000-ɏͰ-ͳΆ-ώА-я -⁯₠-₿ぁ-ゖァ-ヺ一-龥가-힣]")
+            self.unlike = re.compile("[^\u0000-\u024f\u0370-\u0373\u0386-\u03ce\u0410-\u044f\u2000-\u206f\u20a0-\u20bf\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]")
 
     def ids(self, text: str) -> np.ndarray:
         if self.ranks is None or self.unlike.search(text):
@@ -72,7 +72,7 @@ def tokenize(docs: DataFrame, path: str, rank_path: str | None, special: dict[st
     """The pieces of ``docs`` (doc_id, text), each document's ids followed by id 0; null text is empty."""
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, rank_path, special)
+        encoder = once_per_worker(("packing", path, rank_path), lambda: Encoder(path, rank_path, special))
         names = [c.split(" ")[0] for c in PIECES.split(", ")]
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import map_batches, table
+from .common import map_batches, once_per_worker, table
 
 #: Common words of a language, and the least share of a task's words that a word needs to be counted in it.
 COMMON_WORDS, LEAST_SHARE = 40, 1e-4
@@ -48,13 +48,13 @@ def _class_of(c: str) -> int:
     return 9
 
 
-_TABLE: list[np.ndarray] = []
+def _class_table() -> np.ndarray:
+    return np.array([_class_of(chr(i)) for i in range(0x110000)], np.uint8)
 
 
 def character_counts(text: str) -> np.ndarray:
-    if not _TABLE:
-        _TABLE.append(np.array([_class_of(chr(i)) for i in range(0x110000)], np.uint8))
-    return np.bincount(_TABLE[0][np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")], minlength=len(CLASSES))
+    classes = once_per_worker("character classes", _class_table)
+    return np.bincount(classes[np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")], minlength=len(CLASSES))
 
 
 def repeated_words(words: list[bytes], width: int = 3) -> int:
