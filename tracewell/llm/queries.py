@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, classifier, langid, ngram_join, packing, quality, secrets, sharding, warc
+from . import bpe, classifier, hamming, langid, ngram_join, packing, quality, secrets, sharding, warc
 
 QUERIES = {
     "op1_jump_hash_shards": sharding.query,
@@ -12,8 +12,9 @@ QUERIES = {
     "op5_histogram_quality": quality.query,
     "op6_count_vector_join": ngram_join.query,
     "op7_ftrl_quality": classifier.query,
+    "op8_hamming_top_k": hamming.query,
     "op9_backoff_language": langid.query,
     "op10_complement_packing": packing.query,
 }
 
-ORACLES = {"op1_jump_hash_shards": sharding.SQL, "op2_warc_dictionary": warc.SQL, "op6_count_vector_join": ngram_join.SQL}
+ORACLES = {"op1_jump_hash_shards": sharding.SQL, "op2_warc_dictionary": warc.SQL, "op6_count_vector_join": ngram_join.SQL, "op8_hamming_top_k": hamming.SQL}
