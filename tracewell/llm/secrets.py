@@ -58,6 +58,10 @@ def _found(text: Column, pattern: str, group: int) -> Column:
     return F.when(text.rlike(pattern), spans).otherwise(F.expr("cast(array() as array<struct<start:bigint,end:bigint,value:string>>)"))
 
 
+def _long_enough(found: Column, least: int, field: str | None = None) -> Column:
+    return F.filter(found, lambda x: F.length(x if field is None else x[field]) >= least)
+
+
 def _named(found: Column, rank: int, kind: str) -> Column:
     return F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), x["end"].alias("end")))
 
@@ -65,7 +69,7 @@ def _named(found: Column, rank: int, kind: str) -> Column:
 def base_spans(text: Column) -> Column:
     """Spans of the three shapes, by start, then kind."""
     parts = [
-        _named(F.filter(_found(text, pattern, group), lambda x, least=least: F.length(x["value"]) >= least), rank, kind)
+        _named(_long_enough(_found(text, pattern, group), least, "value"), rank, kind)
         for rank, (kind, pattern, group, least) in enumerate(SHAPES)
     ]
     return F.array_sort(F.concat(*parts))
@@ -79,7 +83,7 @@ def pair_counts(docs: DataFrame, text: str) -> list[tuple[int, str, int]]:
     """(label, pair of characters, count): label 1 for values of the shapes, 0 for identifiers beside them."""
     value = F.coalesce(F.col(text), F.lit(""))
     random = F.concat(*[
-        F.filter(F.regexp_extract_all(value, F.lit(pattern), F.lit(group)), lambda v, least=least: F.length(v) >= least) for _, pattern, group, least in SHAPES
+        _long_enough(F.regexp_extract_all(value, F.lit(pattern), F.lit(group)), least) for _, pattern, group, least in SHAPES
     ])
     rest = value
     for _, pattern, _, _ in SHAPES:
