@@ -283,40 +283,46 @@ class Encoder:
         self.library = None
         self.special = re.compile(b"(" + b"|".join(map(re.escape, self.merges.special)) + b")") if self.merges.special else None
 
-    def words(self, words: list[bytes]) -> list[np.ndarray]:
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """Each word's ids as little-endian unsigned 32-bit integers."""
         places = self.lexicon.places(words) if self.lexicon is not None else np.full(len(words), -1)
         unseen = np.flatnonzero(places < 0)
         merged = iter(self.merges.merge([words[i] for i in unseen]))
-        return [self.lexicon.ids_of(p) if p >= 0 else next(merged) for p in places]
+        return [self.lexicon.ids_of(p).tobytes() if p >= 0 else next(merged).astype("<u4", copy=False).tobytes() for p in places.tolist()]
 
-    def _by_library(self, text: str) -> np.ndarray:
+    def _by_library(self, text: str) -> bytearray:
         if self.library is None:
             from tokenizers import Tokenizer
 
             self.library = Tokenizer.from_file(self.path)
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+        return bytearray(np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+
+    def _cut(self, piece: bytes) -> list[bytes | bytearray]:
+        """The words of a piece; where ids are known at once, those as a bytearray."""
+        parts: list[bytes | bytearray] = []
+        for segment in self.special.split(piece) if self.special and b"<|" in piece else (piece,):
+            if segment in self.merges.special:
+                parts.append(bytearray(np.array([self.merges.special[segment]], "<u4").tobytes()))
+                continue
+            text = segment.decode("utf-8", "replace")
+            if UNLIKE.search(text):
+                parts.append(self._by_library(text))
+            else:
+                parts += map(str.encode, WORD.findall(normalized(text)))
+        return parts
 
     def _resolve(self, pieces: Iterable[bytes]) -> None:
-        cuts: dict[bytes, list[bytes | np.ndarray]] = {}
-        distinct: dict[bytes, int] = {}
+        plain: dict[bytes, bytes] = {}
+        cuts: dict[bytes, list[bytes | bytearray]] = {}
         for piece in pieces:
-            parts: list[bytes | np.ndarray] = []
-            for segment in self.special.split(piece) if self.special and b"<|" in piece else (piece,):
-                if segment in self.merges.special:
-                    parts.append(np.array([self.merges.special[segment]], np.uint32))
-                    continue
-                text = segment.decode("utf-8", "replace")
-                if UNLIKE.search(text):
-                    parts.append(self._by_library(text))
-                    continue
-                for word in WORD.findall(normalized(text)):
-                    word = word.encode()
-                    distinct.setdefault(word, len(distinct))
-                    parts.append(word)
-            cuts[piece] = parts
-        ids = self.words(list(distinct))
-        for piece, parts in cuts.items():
-            self.memory[piece] = b"".join((ids[distinct[p]] if isinstance(p, bytes) else p).astype("<u4").tobytes() for p in parts)
+            if piece.isalpha():  # ASCII letters are one word
+                plain[piece] = piece.lower()
+            else:
+                cuts[piece] = self._cut(piece)
+        distinct = list({*plain.values(), *(w for parts in cuts.values() for w in parts if type(w) is bytes)})
+        ids = dict(zip(distinct, self.words(distinct), strict=True))
+        self.memory.update((piece, ids[word]) for piece, word in plain.items())
+        self.memory.update((piece, b"".join([ids[p] if type(p) is bytes else p for p in parts])) for piece, parts in cuts.items())
 
     def encode_all(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text; texts are taken some megabytes at a time."""

@@ -27,11 +27,13 @@ KINDS = tuple(s[0] for s in SHAPES)
 #: Characters of the models; candidates are runs of them of so many at least.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
-IDENTIFIER = r"[A-Za-z][A-Za-z0-9_]{3,}"
+#: Identifiers are shorter than candidates, so that no candidate speaks for itself.
+IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z0-9_]{3,14}(?![A-Za-z0-9+/_=-])"
 #: Documents that the samples are taken from at most, those with the smallest digests of the id.
 SAMPLE_ROWS = 4096
-#: Count that each pair has in advance, and the log-likelihood ratio from which a candidate is one: in all, and by pair.
-PRIOR, LEAST_RATIO, LEAST_MEAN = 1.0, 12.0, 0.75
+#: Count that each character has in advance, weight of a character's own share beside its pairs, and the
+#: log-likelihood ratio from which a candidate is a secret: in all, and by pair.
+PRIOR, BACKOFF, LEAST_RATIO, LEAST_MEAN = 1.0, 20.0, 12.0, 0.75
 MODEL_KIND = "markov"
 
 SPAN = "array<struct<start:bigint,rank:int,kind:string,end:bigint>>"
@@ -99,15 +101,17 @@ def pair_counts(docs: DataFrame, text: str) -> list[tuple[int, str, int]]:
 def ratios(counts: Sequence[tuple[int, str, int]]) -> np.ndarray:
     """log P(next | character) of random strings minus that of identifiers, a square matrix laid flat."""
     size = len(ALPHABET)
-    both = np.full((2, size, size), PRIOR)
+    both = np.zeros((2, size, size))
     for label, pair, n in counts:
         both[label, ALPHABET.index(pair[0]), ALPHABET.index(pair[1])] += n
-    chances = np.log(both / both.sum(2, keepdims=True))
+    single = both.sum(1) + PRIOR  # of the second character, whatever the first
+    single /= single.sum(1, keepdims=True)
+    chances = np.log((both + BACKOFF * single[:, None, :]) / (both.sum(2, keepdims=True) + BACKOFF))
     return (chances[1] - chances[0]).ravel()
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> np.ndarray:
-    """The matrix of ratios from a bounded sample of documents; all zero where there are none."""
+    """The matrix of ratios from a bounded sample of documents; all near zero where there are none."""
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
     chosen = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("__key"), digest.alias("__digest")).orderBy("__digest").limit(SAMPLE_ROWS).select("__key").distinct()
     sample = docs.join(F.broadcast(chosen), F.col(key) == F.col("__key"), "left_semi")
