@@ -10,8 +10,10 @@ shingles of their set, so many of them that two similar sets always share one (a
 prefix: the order is the same for all).  Under each such key first everything is compared
 with one leader; links found join components.  Only keys that still hold several components
 go on: their points are cut into leaves of bounded size, leaves are compared by their boxes,
-and the points of the leaf pairs that survive by their vectors.  A hot key is thus many
-leaves, and a group of copies that hang together is left alone, whatever its size.
+and the points of the leaf pairs that survive by their vectors.  Points that may link fall
+into classes, each point into one, and the texts of a class are compared the same way, leaf
+by leaf.  A hot key is thus many leaves, no pair travels alone, and a group of copies that
+hang together is left alone, whatever its size.
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ LINK_NUM, LINK_DEN = 4, 5
 #: Shingles seen in so many sets of one task count towards the list of common ones, kept at so many.
 #: The list only orders a set's shingles; without it results are the same and hot keys more.
 COMMON_IN_TASK, COMMON_KEPT, TASK_SHINGLES = 5, 1 << 18, 1 << 21
-#: Points in a leaf, and the ratio of sizes within one.
-LEAF, LEAF_RATIO = 256, 1.25
+#: Points in a leaf, in one that carries texts, and the ratio of sizes within one.
+LEAF, TEXT_LEAF, LEAF_RATIO = 256, 64, 1.25
 #: Bits of the bitmap that keeps texts nobody asks for out of a shuffle.
 BITMAP = 1 << 23
 
@@ -242,10 +244,8 @@ def _maybe_wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return placed.join(F.broadcast(bitmap), "__bucket", "left").withColumn("__byte", byte).filter(hit | F.col("doc_id").isNull()).select(*docs.columns)
 
 
-def verified(pairs: DataFrame, points: DataFrame, docs: DataFrame) -> DataFrame:
-    """Of ``pairs`` (a, b; a stage table) those whose sets link, told on the whole texts."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = stage(ends.join(points, "node").select("node", F.col("first").alias("doc_id")), "wanted")
+def texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) for each node of ``wanted`` (node, doc_id), told by the text itself as an id may repeat."""
 
     def own_node(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,8 +253,14 @@ def verified(pairs: DataFrame, points: DataFrame, docs: DataFrame) -> DataFrame:
             yield _batch("node bigint, text binary", nodes, batch.column("text"))
 
     texts = map_batches(_maybe_wanted(docs, wanted.select("doc_id")), own_node, "node bigint, text binary")
-    own = texts.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    own = stage(own, "texts")
+    return texts.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+
+
+def verified(pairs: DataFrame, points: DataFrame, docs: DataFrame) -> DataFrame:
+    """Of ``pairs`` (a, b; a stage table) those whose sets link, told on the whole texts."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = stage(ends.join(points, "node").select("node", F.col("first").alias("doc_id")), "wanted")
+    own = stage(texts_of(wanted, docs), "texts")
     sides = pairs.join(own.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     sides = sides.join(own.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
 
@@ -266,7 +272,7 @@ def verified(pairs: DataFrame, points: DataFrame, docs: DataFrame) -> DataFrame:
                 if a[i] != last:
                     last, left = a[i], shingles(text_a.as_py())
                 right = shingles(text_b.as_py())
-                if enough(len(np.intersect1d(left, right, assume_unique=True)), len(left), len(right)):
+                if enough(overlap(left, right), len(left), len(right)):
                     out.append(i)
             yield _batch("a bigint, b bigint", [a[i] for i in out], [b[i] for i in out])
 
@@ -275,21 +281,29 @@ def verified(pairs: DataFrame, points: DataFrame, docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Leaf:
-    """Points of one leaf: nodes, their components, sizes and count vectors."""
+    """Points of one leaf: nodes, their components, sizes and count vectors, and the texts where they are asked for."""
 
-    nodes: np.ndarray
-    components: np.ndarray
+    nodes: list[int]
+    components: list[int]
     sizes: np.ndarray
     vectors: list[np.ndarray]
+    texts: list[bytes]
 
     @classmethod
     def of(cls, points: list[dict]) -> Leaf:
-        own = [groups_for(p["n"]) for p in points]
         return cls(
-            np.array([p["node"] for p in points], np.int64), np.array([p["component"] for p in points], np.int64),
-            np.array([p["n"] for p in points], np.int64), [unpack_counts(p["counts"], p["n"], g) for p, g in zip(points, own, strict=True)],
+            [p["node"] for p in points], [p["component"] for p in points], np.array([p["n"] for p in points], np.int64),
+            [unpack_counts(p["counts"], p["n"]) for p in points], [p.get("text") for p in points],
         )
 
+    def __post_init__(self) -> None:
+        self._sets: dict[int, np.ndarray] = {}
+
+    def set_of(self, i: int) -> np.ndarray:
+        if i not in self._sets:
+            self._sets[i] = shingles(self.texts[i])
+        return self._sets[i]
+
     def matrix(self, groups: int) -> np.ndarray:
         return np.stack([v.reshape(len(v) // groups, groups).sum(0, dtype=np.int32) for v in self.vectors])
 
@@ -298,55 +312,130 @@ class Leaf:
         return min(len(v) for v in self.vectors)
 
 
-def leaf_pairs(left: Leaf, right: Leaf, same: bool) -> list[tuple[int, int]]:
-    """Node pairs of two leaves, of different components, whose vectors allow a link."""
+def overlap(left: np.ndarray, right: np.ndarray) -> int:
+    """Common values of two sorted sets."""
+    if not len(left) or not len(right):
+        return 0
+    at = np.minimum(np.searchsorted(right, left), len(right) - 1)
+    return int((right[at] == left).sum())
+
+
+def joining_pairs(left: Leaf, right: Leaf, same: bool, verify: bool) -> list[tuple[int, int]]:
+    """Pairs that join components across two leaves: pairs whose vectors allow a link, or only true links.
+
+    Points already joined, before or by an earlier pair, aren't looked at again: components are
+    what is asked for, so no more pairs come out than there are components.
+    """
     groups = min(left.groups, right.groups)
     a, b = left.matrix(groups), right.matrix(groups)
-    box = b.max(0)
+    box, least = b.max(0), right.sizes.min()
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
+
+    roots = np.array(right.components, np.int64)  # kept up to date for the right leaf
     out = []
     for i in range(len(a)):
-        if not enough(int(np.minimum(a[i], box).sum()), left.sizes[i], right.sizes.min()):
+        if not enough(int(np.minimum(a[i], box).sum()), left.sizes[i], least):
             continue  # the whole box is too far
-        rest = slice(i + 1, None) if same else slice(None)
-        fits = enough(np.minimum(a[i], b[rest]).sum(1), left.sizes[i], right.sizes[rest]) & (right.components[rest] != left.components[i])
-        out += [(int(left.nodes[i]), int(x)) for x in right.nodes[rest][fits]]
+        own, start = root(left.components[i]), i + 1 if same else 0
+        open_ = np.flatnonzero(roots[start:] != own) + start
+        fits = open_[enough(np.minimum(a[i], b[open_]).sum(1), left.sizes[i], right.sizes[open_])]
+        for j in fits:
+            j = int(j)
+            if roots[j] == own or verify and not enough(overlap(left.set_of(i), right.set_of(j)), left.sizes[i], right.sizes[j]):
+                continue
+            out.append((left.nodes[i], right.nodes[j]))
+            old = int(roots[j])
+            parent[old] = own
+            roots[roots == old] = own
+    return out
+
+
+def size_bin(n: int) -> int:
+    return math.floor(math.log(n) / math.log(LEAF_RATIO))
+
+
+def within(points: list[dict], verify: bool) -> list[tuple[int, int]]:
+    """Joining pairs among the points of one leaf; points of other than neighbouring sizes can't link."""
+    bins: dict[int, list[dict]] = {}
+    for p in points:
+        bins.setdefault(size_bin(p["n"]), []).append(p)
+    leaves = {k: Leaf.of(v) for k, v in bins.items()}
+    out = []
+    for k, leaf in leaves.items():
+        out += joining_pairs(leaf, leaf, True, verify)
+        if k + 1 in leaves:
+            out += joining_pairs(leaf, leaves[k + 1], False, verify)
     return out
 
 
-def _leaves(mixed: DataFrame) -> DataFrame:
-    """Cut the points of each key (key, node, component, n, counts) into leaves of about LEAF points."""
-    by_key = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("in_key"))
-    by_component = mixed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("in_component"))
-    parts = lambda count: F.ceil(F.col(count) / LEAF)
-    placed = mixed.join(by_key, "key").join(by_component, ["key", "component"]).withColumns({
+POINT = ("node", "component", "n", "counts")
+BOXES = "group bigint, leaf bigint, size_bin int, first_component bigint, last_component bigint, least_n bigint, most_n bigint, box binary"
+
+
+def _leaves(placed: DataFrame, payload: DataFrame, most: int, fields: tuple[str, ...]) -> DataFrame:
+    """Cut the points of each group (group, node, component, n, in_group) into leaves of about ``most`` points."""
+    by_component = placed.groupBy("group", "component").agg(F.count(F.lit(1)).alias("in_component"))
+    parts = lambda count: F.ceil(F.col(count) / most)
+    cut = placed.join(by_component, ["group", "component"]).withColumns({
         "size_bin": F.floor(F.log(F.col("n").cast("double")) / math.log(LEAF_RATIO)).cast("int"),
-        "part": F.pmod(F.xxhash64("component"), parts("in_key")).cast("int"),
+        "part": F.pmod(F.xxhash64("component"), parts("in_group")).cast("int"),
         "piece": F.pmod(F.xxhash64("node"), parts("in_component")).cast("int"),
     })
-    return placed.groupBy("key", "size_bin", "part", "piece").agg(
-        F.collect_list(F.struct("node", "component", "n", "counts")).alias("points"),
-        F.min("component").alias("first_component"), F.max("component").alias("last_component"), F.min("n").alias("least_n"), F.max("n").alias("most_n"),
-    )
+    return cut.join(payload, "node").groupBy("group", "size_bin", "part", "piece").agg(
+        F.collect_list(F.struct(*fields)).alias("points"), F.min("component").alias("first_component"), F.max("component").alias("last_component"),
+        F.min("n").alias("least_n"), F.max("n").alias("most_n"),
+    ).withColumn("leaf", F.xxhash64("size_bin", "part", "piece"))
+
+
+def _compared(leaves: DataFrame, verify: bool) -> DataFrame:
+    """Joining pairs of the rows of ``leaves`` (points_a, points_b; null where a leaf meets itself)."""
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                a, b = (batch.column(f"points_{s}")[i].as_py() for s in "ab")
+                found = within(a, verify) if b is None else joining_pairs(Leaf.of(a), Leaf.of(b), False, verify)
+                if found:
+                    yield _batch("a bigint, b bigint", [p[0] for p in found], [p[1] for p in found])
 
+    return map_batches(leaves, compare, "a bigint, b bigint")
 
-def remaining_pairs(mixed: DataFrame) -> DataFrame:
-    """Pairs of points of different components under a common key, leaf by leaf."""
-    leaves = stage(_leaves(mixed).withColumn("leaf", F.xxhash64("size_bin", "part", "piece")), "leaves")
-    corner = F.col("points")
+
+def joined_groups(points: DataFrame, payload: DataFrame, most: int, verify: bool) -> DataFrame:
+    """(a, b): pairs that join the components of each group of ``points`` (group, node, component, n).
+
+    ``payload`` has the counts of each node, and its text if links are to be verified; see ``joining_pairs``.
+    A group of up to ``most`` points is one leaf.  Larger ones are cut: of their leaves the boxes are
+    compared first, then the points of the leaf pairs whose boxes allow a link.  Leaf pairs of one and
+    the same component are left out, so a group that hangs together costs nothing.
+    """
+    fields = (*POINT, "text") if verify else POINT
+    by_group = points.groupBy("group").agg(F.count(F.lit(1)).alias("in_group"))
+    placed = stage(points.join(by_group, "group"), "placed")
+    small = placed.filter(F.col("in_group") <= most).join(payload, "node").groupBy("group").agg(F.collect_list(F.struct(*fields)).alias("points_a"))
+    nothing = F.lit(None).cast(small.schema["points_a"].dataType).alias("points_b")
+    alone = _compared(small.select("points_a", nothing), verify)
+
+    leaves = stage(_leaves(placed.filter(F.col("in_group") > most), payload, most, fields), "leaves")
+    heads = ["group", "leaf", "size_bin", "first_component", "last_component", "least_n", "most_n"]
 
     def boxes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for points in batch.column("points").to_pylist():
-                leaf = Leaf.of(points)
-                box = leaf.matrix(leaf.groups).max(0)
-                out.append(box.astype("<i4").tobytes())
-            rest = [batch.column(c) for c in ("key", "leaf", "size_bin", "first_component", "last_component", "least_n", "most_n")]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(out, pa.binary())], [*(f.split(" ")[0] for f in BOXES.split(", "))])
-
-    boxed = stage(map_batches(leaves.select("key", "leaf", "size_bin", "first_component", "last_component", "least_n", "most_n", corner), boxes, BOXES), "boxes")
-    left, right = (boxed.select("key", *[F.col(c).alias(f"{c}_{s}") for c in boxed.columns if c != "key"]) for s in "ab")
-    near = left.join(right, "key").filter(
+                leaf = Leaf.of([{"node": 0, "component": 0, **p} for p in points])
+                out.append(leaf.matrix(leaf.groups).max(0).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in heads), pa.array(out, pa.binary())], [*heads, "box"])
+
+    vectors = F.transform("points", lambda p: F.struct(p["n"].alias("n"), p["counts"].alias("counts"))).alias("points")
+    boxed = stage(map_batches(leaves.select(*heads, vectors), boxes, BOXES), "boxes")
+    left, right = (boxed.select("group", *[F.col(c).alias(f"{c}_{s}") for c in boxed.columns if c != "group"]) for s in "ab")
+    near = left.join(right, "group").filter(
         (F.col("leaf_a") <= F.col("leaf_b")) & (F.abs(F.col("size_bin_a") - F.col("size_bin_b")) <= 1)
         & (F.col("least_n_a") * LINK_NUM <= F.col("most_n_b") * LINK_DEN) & (F.col("least_n_b") * LINK_NUM <= F.col("most_n_a") * LINK_DEN)
         & (F.least("first_component_a", "first_component_b") < F.greatest("last_component_a", "last_component_b"))
@@ -355,40 +444,36 @@ def remaining_pairs(mixed: DataFrame) -> DataFrame:
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("box_a", "box_b", "least_n_a", "least_n_b", "most_n_a", "most_n_b")), strict=True)
-            for i, (box_a, box_b, n_a, n_b, most_a, most_b) in enumerate(rows):
+            rows = zip(*(batch.column(c).to_pylist() for c in ("box_a", "box_b", "least_n_a", "least_n_b")), strict=True)
+            for i, (box_a, box_b, n_a, n_b) in enumerate(rows):
                 a, b = np.frombuffer(box_a, "<i4"), np.frombuffer(box_b, "<i4")
                 groups = min(len(a), len(b))
-                most = int(np.minimum(a.reshape(-1, groups).sum(0), b.reshape(-1, groups).sum(0)).sum())
-                if enough(most, n_a, n_b):
+                most_shared = int(np.minimum(a.reshape(-1, groups).sum(0), b.reshape(-1, groups).sum(0)).sum())
+                if enough(most_shared, n_a, n_b):
                     out.append(i)
-            yield _batch("key bigint, leaf_a bigint, leaf_b bigint", *(batch.column(c).to_numpy()[out] for c in ("key", "leaf_a", "leaf_b")))
+            yield _batch("group bigint, leaf_a bigint, leaf_b bigint", *(batch.column(c).to_numpy()[out] for c in ("group", "leaf_a", "leaf_b")))
 
-    met = map_batches(near, meet, "key bigint, leaf_a bigint, leaf_b bigint")
-    held = leaves.select("key", "leaf", "points")
-    both = met.join(held.withColumnsRenamed({"leaf": "leaf_a", "points": "points_a"}), ["key", "leaf_a"])
-    both = both.join(held.withColumnsRenamed({"leaf": "leaf_b", "points": "points_b"}), ["key", "leaf_b"])
+    met = map_batches(near, meet, "group bigint, leaf_a bigint, leaf_b bigint")
+    held = leaves.select("group", "leaf", "points")
+    both = met.join(held.withColumnsRenamed({"leaf": "leaf_a", "points": "points_a"}), ["group", "leaf_a"])
+    # a leaf against itself is carried once
+    other = F.when(F.col("leaf_a") != F.col("leaf_b"), F.col("points_b")).alias("points_b")
+    both = both.join(held.withColumnsRenamed({"leaf": "leaf_b", "points": "points_b"}), ["group", "leaf_b"]).select("points_a", other)
+    return alone.union(_compared(both, verify))
 
-    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                same = batch.column("leaf_a")[i].as_py() == batch.column("leaf_b")[i].as_py()
-                found = leaf_pairs(*(Leaf.of(batch.column(f"points_{s}")[i].as_py()) for s in "ab"), same)
-                yield _batch("a bigint, b bigint", [min(p) for p in found], [max(p) for p in found])
 
-    return map_batches(both, compare, "a bigint, b bigint").distinct()
+def _several(placed: DataFrame, least_nodes: int = 2) -> DataFrame:
+    """Rows (group, node, component) of the groups that hold several components, and so many nodes."""
+    groups = placed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("nodes"))
+    return placed.join(groups.filter((F.col("lo") < F.col("hi")) & (F.col("nodes") >= least_nodes)).select("group"), "group")
 
 
-BOXES = "key bigint, leaf bigint, size_bin int, first_component bigint, last_component bigint, least_n bigint, most_n bigint, box binary"
+def _named(nodes: DataFrame, components: DataFrame) -> DataFrame:
+    return nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``documents`` (doc_id, text).
-
-    component_id is the smallest doc_id of the component, a null id aside; null where no row of
-    it has an id.  Rows without shingles are their own component.  Rows that repeat an id stay
-    apart by their texts.  Extra columns are left aside.
-    """
+def classes_and_components(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, node) of each row, and (node, first, component) of each class of equal sets."""
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
     signed = stage(signatures(docs), "signed")
     rows = signed.filter("kind = 0").select("doc_id", "n", "node", "counts")
@@ -401,21 +486,59 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     links = verified(stage(bounded_pairs(led, points), "led"), points, docs)
     components = stage(connected_components(links), "components")
 
-    placed = keys.join(components, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    mixed = stage(placed.join(mixed_keys, "key").join(points.select("node", "n", "counts"), "node"), "mixed")
-    pairs = stage(remaining_pairs(mixed).join(led, ["a", "b"], "left_anti"), "pairs")
-    more = verified(pairs, points, docs)
+    # what may link, by the points alone: classes of nodes, each node in one; of two nodes under a key one was the leader
+    placed = _several(_named(keys.select(F.col("key").alias("group"), "node"), components), 3).join(points.select("node", "n"), "node")
+    may_join = joined_groups(placed, points.select("node", "counts"), LEAF, verify=False)
+    classes = connected_components(may_join.union(links)).withColumnRenamed("component", "group")
+    # and what does, on the whole texts
+    rest = stage(_several(_named(classes, components)).join(points, "node").select("group", *POINT, F.col("first").alias("doc_id")), "rest")
+    texts = texts_of(rest.select("node", "doc_id"), docs).join(rest.select("node", "counts"), "node")
+    more = joined_groups(rest.select("group", "node", "component", "n"), stage(texts, "texts"), TEXT_LEAF, verify=True)
     whole = connected_components(links.union(more))
 
     named = points.join(whole, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
+    return rows.select("doc_id", "n", "node"), named
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``documents`` (doc_id, text).
+
+    component_id is the smallest doc_id of the component, a null id aside; null where no row of
+    it has an id.  Rows without shingles are their own component.  Rows that repeat an id stay
+    apart by their texts.  Extra columns are left aside.
+    """
+    rows, named = classes_and_components(documents)
     names = named.groupBy("component").agg(F.min("first").alias("component_id"))
     final = named.join(names, "component").select("node", "component_id")
-    return rows.select("doc_id", "n", "node").join(final, "node", "left").select(
+    return rows.join(final, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
+def keep_first(documents: DataFrame) -> DataFrame:
+    """One row of each component, the one with the smallest id; null ids come last.
+
+    Rows without shingles all stay, one for each id.  Of rows alike in id and set any one stays.
+    """
+    _, named = classes_and_components(documents)
+    best = named.groupBy("component").agg(F.min(F.struct(F.col("first").isNull().alias("none"), F.col("first").alias("first"), F.col("node").alias("node"))).alias("best"))
+    kept = stage(best.select((~F.col("best.none")).alias("__has"), F.coalesce("best.first", F.lit(0)).alias("__id"), F.col("best.node").alias("__node"), F.lit(True).alias("__kept")), "kept")
+    columns = documents.columns
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema] + ["__node bigint"])
+
+    def own_node(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t.encode("utf-8", "replace")) if (t := v.as_py()) else () for v in batch.column("text")]
+            nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, nodes], [*batch.schema.names, "__node"])
+
+    keyed = map_batches(documents, own_node, schema).withColumns({
+        "__has": F.col("doc_id").isNotNull(), "__id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), "__node": F.coalesce("__node", F.lit(0)), "__none": F.col("__node").isNull(),
+    })
+    found = keyed.join(kept, ["__has", "__id", "__node"], "left").filter(F.col("__kept") | F.col("__none"))
+    return found.dropDuplicates(["__has", "__id", "__node"]).select(*columns)
+
+
 def query(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
