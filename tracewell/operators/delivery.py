@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .running import Running, running
 
 MAX_BATCH_BYTES = 3_500_000
+# What a sent batch has around its events, and after each of them.
+ENVELOPE_BYTES, SEPARATOR_BYTES = 256, 1
 # Batches packed by one fold: bounds the group a task holds, whatever the data size.
 BATCHES_PER_SHARD = 64
 
@@ -48,21 +50,30 @@ def _pack_shard(room: int):
 
 def pack_batches(
     events: DataFrame,
-    shard: Column,
+    shard: Column | None = None,
     order: Sequence[str] = ("seq",),
     limit: int = MAX_BATCH_BYTES,
-    envelope_bytes: int = 0,
+    envelope_bytes: int = ENVELOPE_BYTES,
     chunk: Column | None = None,
+    event_id: str | None = None,
 ) -> DataFrame:
     """Add ``batch`` to events (trace_id, bytes and the ``order`` columns).
 
-    A trace travels in one batch if it fits into one: traces are packed next-fit in
-    order of their id within their ``shard`` (:func:`trace_shard`).  Only trace ids
-    and sizes reach that step, and a shard holds a bounded number of batches.  A
-    larger trace is cut along its order; an event larger than a batch goes alone.
+    A batch as sent, with its envelope and the commas between events, stays within ``limit``.
+    A trace travels in one batch if it fits into one: traces are packed next-fit in order of
+    their id within their ``shard``.  Only trace ids and sizes reach that step; by default
+    there are so many shards that each packs a bounded number of batches, which takes one
+    pass over the sizes.  A larger trace is cut along its order; an event larger than a batch
+    goes alone.  Where ``order`` repeats within a trace, ``event_id`` names a column that
+    tells its events apart.
     """
     room = limit - envelope_bytes
-    sizes = events.groupBy("trace_id").agg(F.sum("bytes").cast("bigint").alias("bytes"))
+    order = [*order, *([event_id] if event_id and event_id not in order else [])]
+    sent = F.col("bytes") + SEPARATOR_BYTES
+    sizes = events.groupBy("trace_id").agg(F.sum(sent).cast("bigint").alias("bytes"))
+    if shard is None:
+        total = sizes.agg(F.sum(F.least("bytes", F.lit(room)))).first()[0] or 0
+        shard = trace_shard(shards_for(int(total), limit))
     type_ = events.schema["trace_id"].dataType.simpleString()
     placed = (
         sizes.where(F.col("bytes") <= room)
@@ -94,7 +105,7 @@ def _split_large(
         events,
         ["trace_id"],
         order,
-        {"__before": Running("sum", F.col("bytes"), exclusive=True)},
+        {"__before": Running("sum", F.col("bytes") + SEPARATOR_BYTES, exclusive=True)},
         chunk,
     )
     trace = F.col("trace_id").cast("string")
@@ -102,7 +113,7 @@ def _split_large(
     stretch = F.floor(F.col("__before") / F.lit(half)).cast("bigint").cast("string")
     together = F.concat_ws("-", F.lit("t"), trace, stretch)
     return placed.withColumn(
-        "batch", F.when(F.col("bytes") > half, alone).otherwise(together)
+        "batch", F.when(F.col("bytes") + SEPARATOR_BYTES > half, alone).otherwise(together)
     ).drop("__before")
 
 

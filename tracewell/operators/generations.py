@@ -210,8 +210,11 @@ def collapse_retries(requests: DataFrame) -> DataFrame:
 
 
 def stream_texts(routed: DataFrame) -> DataFrame:
-    """Text and thinking of each generation, its deltas joined in order."""
-    deltas = routed.where((F.col("step") == "delta") & (F.col("effect") == "join"))
+    """Text and thinking of each generation, its deltas since the message began joined in order."""
+    joins = routed.where(F.col("effect") == "join")
+    began = joins.where(F.col("step") == "start").groupBy(*GENERATION).agg(F.max("seq").alias("__began"))
+    deltas = joins.where(F.col("step") == "delta").join(began, GENERATION, "left")
+    deltas = deltas.where(F.col("__began").isNull() | (F.col("seq") > F.col("__began"))).drop("__began")
 
     def of(kind: str) -> Column:
         return F.when(F.col("delta_kind") == kind, F.col("delta"))
@@ -268,7 +271,7 @@ def generations(routed: DataFrame, turn_rows: DataFrame) -> DataFrame:
         F.array_sort(
             F.collect_list(F.when(has_status, F.struct("seq", "status")))
         ).alias("__statuses"),
-        F.max(has_status & ((F.col("status") >= 400) | F.coalesce(F.col("is_error"), F.lit(False)))).alias("provider_error"),
+        F.max((step == "response") & F.coalesce((F.col("status") >= 400) | F.col("is_error"), F.col("is_error"), F.lit(False))).alias("provider_error"),
         F.min(F.when(token, F.col("event_ms"))).alias("__token_ms"),
         F.min(F.when(effect.isin("end", "error"), F.col("seq"))).alias("end_seq"),
         first("event_ms", effect.isin("end", "error")).alias("end_ms"),

@@ -64,7 +64,8 @@ def latest_covering(
     payload: Sequence[str],
 ) -> DataFrame:
     """``points`` plus the ``payload`` of the interval [start, stop) over ``at`` with the
-    greatest start, null if none; a null stop is open.  (keys, at) must be unique."""
+    greatest start, null if none; a null stop is open.  (keys, at) must be unique, and below
+    OPEN_END; a point beyond raises."""
     salts = F.when(
         F.col("level") >= SALTED_FROM, F.sequence(F.lit(0), F.lit(SALTS - 1))
     ).otherwise(F.array(F.lit(0)))
@@ -81,7 +82,8 @@ def latest_covering(
         .agg(F.max_by("hit", "hit.start").alias("hit"))
         .withColumn("salt", F.explode(salts))
     )
-    point_key = points.select(*keys, at)
+    beyond = F.raise_error(F.concat(F.lit(f"{at} is beyond {OPEN_END}: "), F.col(at).cast("string")))
+    point_key = points.select(*keys, F.when(F.col(at) >= OPEN_END, beyond.cast("bigint")).otherwise(F.col(at)).alias(at))
     probes = point_key.withColumn(
         "level", F.explode(F.array(*[F.lit(level) for level in range(LEVELS)]))
     ).select(

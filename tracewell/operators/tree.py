@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import patterns as P, policy as policies
 from ..functions.policy import Limits
+from . import literals
 from ..functions.redaction import (
     bind,
     blob_placeholder,
@@ -27,7 +28,6 @@ from ..functions.redaction import (
     redact_columns,
 )
 
-DEFAULT_DEPTH = 12
 TRUNCATED = "[TRUNCATED:depth]"
 OVERSIZED = "[structured-value]"
 
@@ -61,8 +61,10 @@ class _Walk:
         limits: Limits,
         field_of: Callable[[Column], Column] | None,
         captured: Callable[[Column], Column],
+        marked: bool = False,
     ):
         self.redact = redact
+        self.marked = marked
         self.limits = limits
         self.field_of = field_of
         self.captured = captured
@@ -71,7 +73,7 @@ class _Walk:
     def root(self, v: Column) -> Column:
         no_path = F.array().cast("array<int>")
         no_text = F.lit(None).cast("string")
-        kind = _type_of(v)
+        kind = self._kind_of(v)
         state = self._plain_state(kind)
         mode = F.lit(PLAIN) if self.field_of is None else F.when(
             kind == "OBJECT", F.lit(RECORD)
@@ -89,6 +91,14 @@ class _Walk:
             )
         )
 
+    def _kind_of(self, v: Column) -> Column:
+        """The type of a value; a marked string is the number it stands for."""
+        kind = _type_of(v)
+        if not self.marked:
+            return kind
+        number = (kind == "STRING") & literals.is_marked(F.try_variant_get(v, "$", "string"))
+        return F.when(number, F.lit("NUMBER")).otherwise(kind)
+
     @staticmethod
     def _plain_state(kind: Column) -> Column:
         return (
@@ -121,7 +131,7 @@ class _Walk:
                 i.alias("i"),
                 e["key"].alias("key"),
                 e["value"].alias("v"),
-                _type_of(e["value"]).alias("kind"),
+                self._kind_of(e["value"]).alias("kind"),
             ]
             if self.redact:
                 hide = F.when(is_sensitive_key(e["key"]), F.lit("hide")).when(
@@ -298,7 +308,7 @@ class _Walk:
 
 def json_depth(json: Column) -> Column:
     """Nesting depth of a JSON text, from its brackets outside of strings."""
-    bare = F.regexp_replace(json, r'"(?:[^"\\]|\\.)*"', "")
+    bare = F.regexp_replace(F.regexp_replace(json, r"\\.", ""), '"[^"]*"', "")
     brackets = F.regexp_extract_all(bare, F.lit(r"[\[\]{}]"), F.lit(0))
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("top"))
 
@@ -318,12 +328,13 @@ def measure_depth(df: DataFrame, column: str) -> int:
 _NODES = "__tree_nodes"
 
 
-def _masked_text(n: Column, bounded: bool) -> Column:
+def _masked_text(n: Column, bounded: bool, marked: bool = False) -> Column:
     """Placeholder of a value hidden because of its key."""
     kind = _type_of(n["v"])
-    value = F.coalesce(
-        F.when(kind == "STRING", F.try_variant_get(n["v"], "$", "string")), F.to_json(n["v"])
-    )
+    string = F.try_variant_get(n["v"], "$", "string")
+    if marked:
+        string = F.when(literals.is_marked(string), literals.literal(string)).otherwise(string)
+    value = F.coalesce(F.when(kind == "STRING", string), F.to_json(n["v"]))
     if bounded:
         value = F.when(
             (kind != "STRING") & (F.length(value) > P.STRUCTURED_VALUE_CHARS), F.lit(OVERSIZED)
@@ -343,18 +354,22 @@ def shape_json(
     captured: Callable[[Column], Column] | None = None,
     limits: Limits | None = None,
     secrets: Iterable[tuple[str, str]] = (),
-    depth: int = DEFAULT_DEPTH,
+    depth: int | None = None,
     force: bool = False,
+    marked: bool = False,
 ) -> DataFrame:
     """Add ``out``: the JSON text of ``column`` redacted, masked and bounded.
 
     ``field_of`` maps a top-level key to its field class (null: structural, always
     kept), ``captured`` a field class to whether it is kept.  Text that is no JSON
-    gives null.  Containers nested deeper than ``depth`` are not walked; they are
-    replaced whole by a placeholder, so nothing in them can leak.  Use
-    :func:`measure_depth` for a depth that walks everything.
+    gives null.  Everything is walked: the depth of the data is measured first, in one
+    narrow pass.  Where ``depth`` is given (always for a stream, which can't be measured),
+    containers below it are replaced whole by a placeholder, so nothing in them can leak.
+    ``marked`` texts come from :func:`literals.prepared`.
     """
-    walk = _Walk(redact, limits or Limits(), field_of, captured or (lambda f: F.lit(True)))
+    if depth is None:
+        depth = measure_depth(df, column)
+    walk = _Walk(redact, limits or Limits(), field_of, captured or (lambda f: F.lit(True)), marked)
     nodes = df.withColumn("__tree_root", F.try_parse_json(F.col(column))).withColumn(
         _NODES, F.when(F.col("__tree_root").isNotNull(), walk.root(F.col("__tree_root")))
     ).drop("__tree_root")
@@ -377,6 +392,13 @@ def shape_json(
     # What is left to open lies deeper than the walk: hidden as one value.
     deeper = placeholder("structured-value", F.lit(None)) if not redact else None
 
+    def raw(v: Column) -> Column:
+        if not marked:
+            return F.to_json(v)
+        string = F.try_variant_get(v, "$", "string")
+        number = (_type_of(v) == "STRING") & literals.is_marked(string)
+        return F.when(number, literals.literal(string)).otherwise(F.to_json(v))
+
     def leaf(n: Column) -> Column:
         unopened = (
             F.lit(OVERSIZED) if deeper is not None else placeholder("structured-value", F.to_json(n["v"]))
@@ -385,14 +407,14 @@ def shape_json(
             F.when(n["state"] == "text", F.try_variant_get(n["v"], "$", "string"))
             .when(n["state"] == "todo", unopened)
             .when(n["state"] == "deep", F.lit(TRUNCATED))
-            .otherwise(_masked_text(n, limits is not None))
+            .otherwise(_masked_text(n, limits is not None, marked))
         )
         return F.struct(
             n["key"].alias("key"),
             n["state"].alias("state"),
             n["field"].alias("field"),
             text.alias("text"),
-            F.when(n["state"] == "done", F.to_json(n["v"])).alias("raw"),
+            F.when(n["state"] == "done", raw(n["v"])).alias("raw"),
         )
 
     slim = nodes.withColumn(_NODES, F.transform(F.col(_NODES), leaf))

@@ -6,13 +6,15 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.redaction import redact_columns, strip_path_roots
-from ..operators import gates
-from ..operators.tree import DEFAULT_DEPTH, shape_export
+from ..functions.redaction import placeholder, redact_columns, strip_path_roots
+from ..operators import gates, literals
+from ..operators.tree import json_depth, shape_export
 from ..sources.jsonl import LINE_ORDER, read_layers
 from .workspace import materialize
 
 FILE_KEYS = ("layer", "path")
+#: Levels that a line may be nested; the walk is one projection for each level that the data has.
+DEEPEST = 64
 TRAINING_FORMAT = "redacted-jsonl-derivative"
 
 
@@ -20,26 +22,44 @@ def redact_lines(
     lines: DataFrame,
     roots: Iterable[str] = (),
     secrets: Sequence[tuple[str, str]] = (),
-    depth: int = DEFAULT_DEPTH,
+    depth: int | None = None,
 ) -> DataFrame:
-    """Add ``clean``: JSON lines redacted as trees, other lines as text, blank lines as
-    they are; source roots are stripped from all of them."""
+    """Add ``clean`` and ``refused``.
+
+    JSON lines are redacted as trees, whatever their depth, with the last of repeated keys and
+    with numbers as they stand; other lines as text, blank lines are as they were; source roots
+    are stripped from all of them.  A JSON line that can't be walked (nested deeper than DEEPEST,
+    or too large for a VARIANT) is refused: a placeholder takes its place.
+    """
     blank = F.trim("value") == ""
-    shaped = shape_export(
-        lines.withColumn("__line", F.when(~blank, F.rtrim("value"))), "__line", "__json",
-        secrets=secrets, depth=depth,
-    )
-    texts = shaped.withColumn("__text", F.when(F.col("__json").isNull() & ~blank, F.col("value")))
+    rows = lines.withColumn("__line", literals.prepared(F.when(~blank, F.rtrim("value"))))
+    deep = json_depth(F.coalesce("__line", "value")) > DEEPEST
+    unread = F.col("__line").isNotNull() & F.try_parse_json("__line").isNull()
+    # what looks like one JSON value and can't be read as such: get_json_object reads repeated keys and any depth
+    hidden = F.col("__line").isNull() & F.ltrim("value").rlike(r"^[\[{]") & F.get_json_object("value", "$").isNotNull()
+    rows = rows.withColumn("refused", ~blank & (F.coalesce(unread, F.lit(False)) | hidden | (deep & F.ltrim("value").rlike(r"^[\[{]"))))
+    rows = rows.withColumn("__line", F.when(~F.col("refused"), F.col("__line")))
+    shaped = shape_export(rows, "__line", "__json", secrets=secrets, depth=depth, marked=True)
+    texts = shaped.withColumn("__text", F.when(F.col("__json").isNull() & ~blank & ~F.col("refused"), F.col("value")))
     redacted = redact_columns(texts, "__text", secrets=secrets)
-    clean = F.coalesce(F.col("__json"), F.col("__text"), F.col("value"))
+    clean = F.when(F.col("refused"), placeholder("structured-value", F.col("value"))).otherwise(
+        F.coalesce(literals.unguarded(F.col("__json")), F.col("__text"), F.col("value")))
     return redacted.withColumn("clean", strip_path_roots(clean, roots)).drop(
         "__line", "__json", "__text"
     )
 
 
 def manifest(clean_lines: DataFrame, secrets: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    """One row per file: bytes, findings before and after, approved or rejected."""
-    return gates.audit(clean_lines, "value", "clean", FILE_KEYS, secrets)
+    """One row per file: bytes, findings before and after, approved or rejected.
+
+    A file with a refused line is rejected.
+    """
+    audited = gates.audit(clean_lines, "value", "clean", FILE_KEYS, secrets)
+    if "refused" not in clean_lines.columns:
+        return audited
+    refused = clean_lines.where("refused").groupBy(*FILE_KEYS).agg(F.count("*").alias("__refused"))
+    status = F.when(F.col("__refused").isNotNull(), gates.REJECTED).otherwise(F.col("status"))
+    return audited.join(refused, list(FILE_KEYS), "left").withColumn("status", status).drop("__refused")
 
 
 def training_index(approved: DataFrame) -> DataFrame:
@@ -75,7 +95,7 @@ def export_redacted(
     scanner_required: bool = False,
     scanner_warning: bool = False,
     glob: str = "*.jsonl",
-    depth: int = DEFAULT_DEPTH,
+    depth: int | None = None,
 ) -> DataFrame:
     """Run the export and return its report row.
 

@@ -29,7 +29,8 @@ def read_lines(spark: SparkSession, root: str, glob: str = "*.jsonl") -> DataFra
         return spark.createDataFrame([], LINES)
     return files.select(
         "value",
-        F.url_decode(F.col("_metadata.file_path")).alias("file"),
+        # a plus sign is one in a path, not a space
+        F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"),
         F.col("_metadata.file_size").alias("file_bytes"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row"),
@@ -44,6 +45,13 @@ def relative_path(file: Column, root: str, layer: str) -> Column:
     return F.concat(F.lit(OUTPUT_FOLDER[layer] + "/"), below)
 
 
+def qualified(spark: SparkSession, root: str) -> str:
+    """The root as paths of its files show it: absolute, without scheme and host."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toUri().getPath()
+
+
 def read_layers(
     spark: SparkSession,
     sessions_dir: str | None,
@@ -53,7 +61,7 @@ def read_layers(
     """Session and raw-trace lines in one table; a layer without a folder is left out."""
     layers = [
         read_lines(spark, root, glob).select(
-            F.lit(layer).alias("layer"), relative_path(F.col("file"), root, layer).alias("path"), "*"
+            F.lit(layer).alias("layer"), relative_path(F.col("file"), qualified(spark, root), layer).alias("path"), "*"
         )
         for layer, root in ((SESSIONS, sessions_dir), (RAW_TRACES, raw_trace_dir))
         if root

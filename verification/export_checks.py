@@ -83,6 +83,39 @@ def training_index(spark, sf):
     return E.training_index(rows.where("status = 'approved'"))
 
 
+_REPEATED = """SELECT 'session' AS layer, concat('c', CAST(conv_id AS VARCHAR(20))) AS path, conv_id, turn, concat('{"a":1,"a":', CAST(turn AS VARCHAR(20)), ',"password":"p', CAST(turn AS VARCHAR(20)),
+  'x","note":{"apiKey":1,"apiKey":', CAST(conv_id AS VARCHAR(20)), '}}') AS value FROM conversations"""
+
+
+def _hash(text: str) -> str:
+    return f"substr(sha256({text}), 1, 10)"
+
+
+@check(f"""SELECT conv_id, turn, concat('{{"a":', CAST(turn AS VARCHAR), ',"note":{{"apiKey":"[REDACTED:api-key:', {_hash("CAST(conv_id AS VARCHAR)")}, ']"}},"password":"[REDACTED:password:', {_hash("concat('p', CAST(turn AS VARCHAR), 'x')")}, ']"}}') AS clean, false AS refused
+  FROM ({_REPEATED}) AS l""")
+def export_repeated_keys(spark, sf):
+    """Lines that repeat a key, at the top and below, are walked with its last value."""
+    return E.redact_lines(V.run(spark, sf, _REPEATED)).select("conv_id", "turn", "clean", "refused")
+
+
+_DEEP = """SELECT 'session' AS layer, source AS path, doc_id, concat(repeat('{"a":', CAST(doc_id % 40 AS INT)), '{"password":"', md5(text), '"}', repeat('}', CAST(doc_id % 40 AS INT))) AS value FROM documents"""
+
+
+@check(f"""SELECT doc_id, concat(repeat('{{"a":', CAST(doc_id % 40 AS INT)), '{{"password":"[REDACTED:password:', {_hash("md5(text)")}, ']"}}', repeat('}}', CAST(doc_id % 40 AS INT))) AS clean FROM documents""")
+def export_deep_records(spark, sf):
+    """Records nested 1 to 40 deep come out whole, by default arguments."""
+    return E.redact_lines(V.run(spark, sf, _DEEP)).select("doc_id", "clean")
+
+
+_NUMBERS = """SELECT 'session' AS layer, 'p' AS path, o_orderkey, concat('{"z":"', o_orderpriority, '","n":', CAST(o_orderkey + 1 AS VARCHAR(20)), repeat('7', 40), ',"f":-', CAST(o_custkey AS VARCHAR(20)), '.50,"e":', CAST(o_custkey AS VARCHAR(20)), 'E+3,"password":', CAST(o_orderkey + 1 AS VARCHAR(20)), '0000000000000000,"i":7}') AS value FROM orders"""
+
+
+@check(f"""SELECT o_orderkey, concat('{{"e":', CAST(o_custkey AS VARCHAR), 'E+3,"f":-', CAST(o_custkey AS VARCHAR), '.50,"i":7,"n":', CAST(o_orderkey + 1 AS VARCHAR), repeat('7', 40), ',"password":"[REDACTED:password:', {_hash("concat(CAST(o_orderkey + 1 AS VARCHAR), '0000000000000000')")}, ']","z":"', o_orderpriority, '"}}') AS clean FROM orders""")
+def export_exact_numbers(spark, sf):
+    """Numbers of any length and form are printed as they stood, secret ones hashed by their literal."""
+    return E.redact_lines(V.run(spark, sf, _NUMBERS)).select("o_orderkey", "clean")
+
+
 @check("""SELECT layer, folder, CAST(count(*) AS BIGINT) AS lines, CAST(sum(strlen(value)) AS BIGINT) AS bytes, CAST(sum(('0x' || substr(md5(value), 1, 8))::BIGINT) AS BIGINT) AS digest FROM (
   SELECT 'session' AS layer, concat('sessions/lang=', lang) AS folder, concat('{"n":', CAST(doc_id AS VARCHAR), '}') AS value FROM documents UNION ALL
   SELECT 'raw-trace', concat('raw-traces/role=', role), concat('{"c":', CAST(conv_id AS VARCHAR), ',"t":', CAST(turn AS VARCHAR), '}') FROM conversations) AS l GROUP BY ALL""")
@@ -177,11 +210,12 @@ def retire_traces(spark, sf):
 
 
 _SHARDS = 16
+_ROOM = D.MAX_BATCH_BYTES - D.ENVELOPE_BYTES
 
 
-@check(f"""WITH RECURSIVE t AS (SELECT trace_id, sum(bytes) AS bytes, trace_id % {_SHARDS} AS shard, row_number() OVER (PARTITION BY trace_id % {_SHARDS} ORDER BY trace_id) AS i FROM ({V.OBSERVATION_SIZE}) AS o GROUP BY trace_id),
+@check(f"""WITH RECURSIVE t AS (SELECT trace_id, sum(bytes + 1) AS bytes, trace_id % {_SHARDS} AS shard, row_number() OVER (PARTITION BY trace_id % {_SHARDS} ORDER BY trace_id) AS i FROM ({V.OBSERVATION_SIZE}) AS o GROUP BY trace_id),
   f AS (SELECT shard, i, trace_id, CAST(0 AS BIGINT) AS batch, CAST(bytes AS HUGEINT) AS used FROM t WHERE i = 1
-  UNION ALL SELECT t.shard, t.i, t.trace_id, CASE WHEN f.used + t.bytes > 3500000 THEN f.batch + 1 ELSE f.batch END, CASE WHEN f.used + t.bytes > 3500000 THEN t.bytes ELSE f.used + t.bytes END FROM f JOIN t ON t.shard = f.shard AND t.i = f.i + 1)
+  UNION ALL SELECT t.shard, t.i, t.trace_id, CASE WHEN f.used + t.bytes > {_ROOM} THEN f.batch + 1 ELSE f.batch END, CASE WHEN f.used + t.bytes > {_ROOM} THEN t.bytes ELSE f.used + t.bytes END FROM f JOIN t ON t.shard = f.shard AND t.i = f.i + 1)
   SELECT trace_id, concat('s-', CAST(shard AS VARCHAR), '-', CAST(batch AS VARCHAR)) AS batch FROM f""")
 def pack_batches(spark, sf):
     events = V.run(spark, sf, V.OBSERVATION_SIZE)
@@ -192,14 +226,24 @@ def pack_batches(spark, sf):
 _PARTS = "SELECT l_suppkey AS trace_id, l_orderkey AS order_key, l_linenumber AS seq, l_partkey AS part, CAST(floor(l_extendedprice * CASE WHEN l_orderkey % 500 = 0 THEN 40 ELSE 1 END) AS BIGINT) AS bytes FROM lineitem"
 
 
-@check(f"""SELECT trace_id, batch, count(*) AS events, CAST(sum(bytes) AS BIGINT) AS bytes FROM (SELECT *, CASE WHEN bytes > 1750000 THEN concat('e-', CAST(trace_id AS VARCHAR), '-', CAST(order_key AS VARCHAR), '-', CAST(seq AS VARCHAR), '-', CAST(part AS VARCHAR))
-  ELSE concat('t-', CAST(trace_id AS VARCHAR), '-', CAST(before_bytes // 1750000 AS VARCHAR)) END AS batch FROM (SELECT *, coalesce(sum(bytes) OVER (PARTITION BY trace_id ORDER BY order_key, seq, part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_bytes
-  FROM ({_PARTS}) AS p WHERE trace_id IN (SELECT trace_id FROM ({_PARTS}) AS q GROUP BY trace_id HAVING sum(bytes) > 3500000)) AS b) AS c GROUP BY ALL""")
+@check(f"""SELECT trace_id, batch, count(*) AS events, CAST(sum(bytes) AS BIGINT) AS bytes FROM (SELECT *, CASE WHEN bytes + 1 > {_ROOM // 2} THEN concat('e-', CAST(trace_id AS VARCHAR), '-', CAST(order_key AS VARCHAR), '-', CAST(seq AS VARCHAR), '-', CAST(part AS VARCHAR))
+  ELSE concat('t-', CAST(trace_id AS VARCHAR), '-', CAST(before_bytes // {_ROOM // 2} AS VARCHAR)) END AS batch FROM (SELECT *, coalesce(sum(bytes + 1) OVER (PARTITION BY trace_id ORDER BY order_key, seq, part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_bytes
+  FROM ({_PARTS}) AS p WHERE trace_id IN (SELECT trace_id FROM ({_PARTS}) AS q GROUP BY trace_id HAVING sum(bytes + 1) > {_ROOM})) AS b) AS c GROUP BY ALL""")
 def split_large_traces(spark, sf):
     packed = D.pack_batches(V.run(spark, sf, _PARTS), D.trace_shard(_SHARDS), order=("order_key", "seq", "part"))
     return packed.where("batch NOT LIKE 's-%'").groupBy("trace_id", "batch").agg(F.count("*").alias("events"), F.sum("bytes").alias("bytes"))
 
 
+@check(f"SELECT true AS within, count(*) AS events, CAST(sum(bytes) AS BIGINT) AS bytes FROM ({_PARTS}) AS p")
+def packed_batch_bytes(spark, sf):
+    """All batches, of small and of large traces with equal start times: none passes the limit as it is sent."""
+    parts = V.run(spark, sf, _PARTS).withColumn("start", F.lit(0)).withColumn("id", F.concat_ws("/", "order_key", "seq", "part"))
+    packed = D.pack_batches(parts, order=("start",), event_id="id")
+    batches = packed.groupBy("batch").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("events"))
+    sent = F.col("bytes") + F.col("events") * D.SEPARATOR_BYTES + D.ENVELOPE_BYTES
+    return batches.agg((F.max(F.when(F.col("events") > 1, sent)) <= D.MAX_BATCH_BYTES).alias("within"), F.sum("events").alias("events"), F.sum("bytes").cast("bigint").alias("bytes"))
+
+
 # --- streaming -----------------------------------------------------------------------------
 
 
