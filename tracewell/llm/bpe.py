@@ -30,7 +30,7 @@ from .common import map_batches, once_per_worker, table
 #: Words in the lexicon, and the least share of a task's words that a word needs to be counted in it.
 LEXICON_WORDS, LEAST_SHARE = 1 << 16, 1e-5
 #: Pieces of text whose ids a task remembers, bytes of text encoded at once, and bytes of a word merged alone.
-REMEMBERED, AT_ONCE, LONG_WORD = 300_000, 2 << 20, 256
+REMEMBERED, AT_ONCE, LONG_WORD = 200_000, 2 << 20, 256
 
 # Fixed value: the pattern that cuts a text into words, as the vocabulary file states it.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")

@@ -35,13 +35,14 @@ Held = TypeVar("Held")
 
 
 def once_per_worker(key: Hashable, make: Callable[[], Held]) -> Held:
-    """The object of this key, made at its first use in a worker process.
+    """The object of this key, made at its first use in a worker process; of several keys the last one's is kept.
 
     A package that travels by value has new globals in every task, so the object is kept beside
     the interpreter's modules.
     """
     held = sys.modules.setdefault("_held_by_worker", types.SimpleNamespace(objects={})).objects
     if key not in held:
+        held.clear()
         held[key] = make()
     return held[key]
 

@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import id_remainder, map_batches, table
 
 #: Labelled rows the model is fitted on at most, words kept of each language, and the longest n-gram.
-SAMPLE_ROWS, WORDS, LONGEST = 20_000, 20_000, 5
+SAMPLE_ROWS, WORDS, LONGEST = 20_000, 10_000, 5
 #: Words whose scores a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Words of evidence at which a score stops growing.
 EVIDENCE = 20
 UNDETERMINED = "und"

@@ -34,7 +34,7 @@ from .components import connected_components
 LINK_NUM, LINK_DEN = 4, 5
 #: Shingles seen in so many sets of one task count towards the list of common ones, kept at so many.
 #: The list only orders a set's shingles; without it results are the same and hot keys more.
-COMMON_IN_TASK, COMMON_KEPT, TASK_SHINGLES = 5, 1 << 18, 1 << 21
+COMMON_IN_TASK, COMMON_KEPT, TASK_SHINGLES = 3, 1 << 18, 1 << 20
 #: Points in a leaf, in one that carries texts, and the ratio of sizes within one.
 LEAF, TEXT_LEAF, LEAF_RATIO = 256, 64, 1.25
 #: Bits of the bitmap that keeps texts nobody asks for out of a shuffle.
@@ -185,7 +185,7 @@ def prefix_keys(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataF
                 held.append(prefix(hashes, shared.value))
                 owners.append(np.full(len(held[-1]), node, np.int64))
                 size += len(held[-1])
-                if size >= 1 << 20:
+                if size >= 1 << 19:
                     yield _batch("key bigint, node bigint", np.concatenate(held).astype(np.int64), np.concatenate(owners))
                     held, owners, size = [], [], 0
             if held:
