@@ -45,7 +45,7 @@ SELECT session_key, seq, event_ms, kind,
   CASE WHEN kind = 'before_agent_start' THEN '/work/project' END AS cwd,
   CASE WHEN kind IN ('turn_start', 'turn_end') THEN agent_turn END AS turn_index,
   CAST(NULL AS STRING) AS request_key,
-  CASE WHEN kind = 'before_provider_request' THEN substr(text, 1, 40) END AS payload,
+  CASE WHEN kind = 'before_provider_request' THEN text END AS payload,
   CASE WHEN kind = 'after_provider_response' THEN CASE WHEN n % 11 = 0 THEN 429 ELSE 200 END END AS status,
   CASE WHEN kind = 'model_select' AND n % 5 > 0 THEN concat('model-', CAST(n % 3 AS STRING))
        WHEN kind = 'before_provider_request' THEN concat('model-', CAST(n % 2 AS STRING)) END AS model,
@@ -53,7 +53,7 @@ SELECT session_key, seq, event_ms, kind,
   CASE WHEN kind LIKE 'message%' THEN 'assistant' END AS role,
   CASE WHEN kind = 'message_update' THEN CASE WHEN k = 3 THEN 'thinking_delta' ELSE 'text_delta' END END AS delta_kind,
   CASE WHEN kind = 'message_update' THEN CASE
-    WHEN k = 3 THEN substr(text, 1, 10)
+    WHEN k = 3 THEN text
     WHEN k = 4 THEN substr(text, 1, CAST(floor(n / 2.0) AS INT))
     ELSE substr(text, CAST(floor(n / 2.0) AS INT) + 1, n) END END AS delta,
   CASE WHEN kind IN ('message_end', 'agent_end', 'context', 'turn_end') AND n % 17 > 0 THEN text END AS text,
@@ -67,10 +67,10 @@ SELECT session_key, seq, event_ms, kind,
   CASE WHEN kind = 'message_end' AND n % 4 = 1 THEN (n % 97) / 64.0 END AS cost_total,
   CASE WHEN kind LIKE 'tool%' THEN concat('call-', CAST(turn AS STRING)) END AS tool_call_id,
   CASE WHEN kind LIKE 'tool%' THEN CASE n % 3 WHEN 0 THEN 'bash' WHEN 1 THEN 'read' ELSE 'web_search' END END AS tool_name,
-  CASE WHEN kind IN ('tool_call', 'tool_execution_start') THEN substr(text, 1, 30) END AS args,
-  CASE WHEN kind = 'tool_execution_update' THEN substr(text, 1, 5)
-       WHEN kind = 'tool_result' THEN substr(text, 1, 15)
-       WHEN kind = 'tool_execution_end' AND n % 8 > 0 THEN substr(text, 1, 20) END AS result,
+  CASE WHEN kind IN ('tool_call', 'tool_execution_start') THEN text END AS args,
+  CASE WHEN kind = 'tool_execution_update' THEN concat('part of ', text)
+       WHEN kind = 'tool_result' THEN concat('result ', text)
+       WHEN kind = 'tool_execution_end' AND n % 8 > 0 THEN text END AS result,
   CASE WHEN kind IN ('tool_result', 'tool_execution_end') THEN n % 10 = 0 END AS is_error
 FROM (
   SELECT *, CASE

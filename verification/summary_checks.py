@@ -141,13 +141,13 @@ def recent_message_rows(spark, sf):
     return X.recent_message_rows(rows, ["conv_id"], "seq", _RECENT)
 
 
-@check(f"""WITH m AS (SELECT conv_id, list({{'role': role, 'content': substr(text, 1, 30)}} ORDER BY turn) AS ms FROM conversations GROUP BY conv_id)
+@check(f"""WITH m AS (SELECT conv_id, list({{'role': role, 'content': text}} ORDER BY turn) AS ms FROM conversations GROUP BY conv_id)
   SELECT conv_id, array_to_string(list_transform(list_concat(CASE WHEN len(ms) > {_RECENT} THEN [{{'role': 'system', 'content': concat('[truncated ', CAST(len(ms) - {_RECENT} AS VARCHAR), ' earlier message(s)]')}}] ELSE [] END,
   ms[greatest(1, len(ms) - {_RECENT - 1}):]), lambda x: concat(x.role, ':', x.content)), '|') AS window_text FROM m""")
 def recent_messages(spark, sf):
     rows = V.read(spark, sf, "conversations")
     by_request = rows.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", F.substring("text", 1, 30).alias("content")))).alias("ms")
+        F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("ms")
     )
     messages = F.transform("ms", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
     shown = by_request.select("conv_id", M.recent_messages(messages, _RECENT).alias("w"))
@@ -355,7 +355,7 @@ def repo_identity(spark, sf):
 
 
 _OVERRIDES = """SELECT page_id, unnest(['repo_owner', 'repo_name', 'repo_identity', 'environment', 'other', 'service_name']) AS k,
-  unnest([CASE WHEN page_id % 2 = 0 THEN 'team' ELSE 'te/am' END, concat(' n', CAST(page_id AS VARCHAR), ' '), CASE WHEN page_id % 3 = 0 THEN 'a/b' ELSE 'ab' END, substr(url, 1, 20), 'x', CASE WHEN page_id % 5 = 0 THEN '~home' WHEN page_id % 5 = 1 THEN 'C:\\x' ELSE html END]) AS v FROM pages"""
+  unnest([CASE WHEN page_id % 2 = 0 THEN 'team' ELSE 'te/am' END, concat(' n', CAST(page_id AS VARCHAR), ' '), CASE WHEN page_id % 3 = 0 THEN 'a/b' ELSE 'ab' END, url, 'x', CASE WHEN page_id % 5 = 0 THEN '~home' WHEN page_id % 5 = 1 THEN 'C:\\x' ELSE html END]) AS v FROM pages"""
 _KEPT_OVERRIDES = f"""SELECT page_id, k, trim(v) AS v FROM ({_OVERRIDES}) AS o WHERE k <> 'other' AND trim(v) <> '' AND length(trim(v)) <= 200 AND NOT contains(v, '://') AND NOT regexp_matches(trim(v), '^([/\\\\~]|[A-Za-z]:[/\\\\])')
   AND NOT regexp_matches(trim(v), '[\\x00-\\x1f\\x7f]') AND NOT (k IN ('repo_owner', 'repo_name') AND regexp_matches(trim(v), '[\\\\/]')) AND NOT (k = 'repo_identity' AND NOT regexp_matches(trim(v), '^[^/\\\\\\s]+/[^/\\\\\\s]+$'))"""
 
@@ -366,7 +366,7 @@ def _override_map(spark, sf):
         F.lit("repo_owner"), F.when(n % 2 == 0, F.lit("team")).otherwise(F.lit("te/am")),
         F.lit("repo_name"), F.concat(F.lit(" n"), n.cast("string"), F.lit(" ")),
         F.lit("repo_identity"), F.when(n % 3 == 0, F.lit("a/b")).otherwise(F.lit("ab")),
-        F.lit("environment"), F.substring("url", 1, 20), F.lit("other"), F.lit("x"),
+        F.lit("environment"), F.col("url"), F.lit("other"), F.lit("x"),
         F.lit("service_name"), F.when(n % 5 == 0, F.lit("~home")).when(n % 5 == 1, F.lit("C:\\x")).otherwise(F.col("html")),
     ))
 
