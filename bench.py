@@ -20,7 +20,6 @@ from tracewell.functions.scanning import count_findings
 from tracewell.operators import delivery, messages, ordered, tree, trace as T
 from tracewell.plans import export
 from tracewell.plans.traces import build_traces
-from tracewell.sources.spread import spread
 from verification import fixtures as V
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -45,7 +44,7 @@ def session() -> SparkSession:
 
 
 def _documents(spark: SparkSession) -> DataFrame:
-    return spread(V.read(spark, SF_DIR, "documents").select("doc_id", "source", "text"))
+    return V.read(spark, SF_DIR, "documents").select("doc_id", "source", "text").repartition(CPUS)
 
 
 def redact_documents(spark):

@@ -2,9 +2,11 @@ import json
 import tempfile
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
-from tracewell.plans.export import export_redacted
+from tracewell.plans.export import export_redacted, manifest, redact_lines
+from tracewell.plans.workspace import shared_folder
 from tracewell.sources.jsonl import read_layers, read_lines
 
 
@@ -85,3 +87,51 @@ def test_raw_trace_stream_appends_once(spark):
         ("p", "s1.jsonl", '{"text":"hi","type":"tool_call"}'),
         ("--unknown--", "s2.jsonl", '{"type":"session_start"}'),
     }
+
+
+def redacted(spark, lines):
+    rows = spark.createDataFrame([("session", f"f{i:02}", v) for i, v in enumerate(lines)], "layer string, path string, value string")
+    clean = redact_lines(rows)
+    status = {r.path: r.status for r in manifest(clean).collect()}
+    return [(r.clean, r.refused, status[r.path]) for r in clean.orderBy("path").collect()]
+
+
+def nested(depth, inner):
+    return '{"a":' * depth + inner + "}" * depth
+
+
+def test_no_json_line_escapes_the_walk(spark):
+    lines = [
+        '{"a":1,"a":2,"password":"abc","note":{"apiKey":12345}}', nested(14, '{"password":"abcdefgh1"}'), nested(50, '{"password":"abcdefgh1"}'), nested(80, '{"password":"abcdefgh1"}'),
+        '{"x":[{"password":"one","password":"abcdefgh1"}]}', '{"password":"abcdefgh1","n":1e400}', '{"broken": 1,', "", "null", '"mail a@b.org"',
+    ]
+    out = redacted(spark, lines)
+    assert not any("abcdefgh1" in clean or "12345" in clean or "a@b.org" in clean for clean, _, _ in out)
+    assert [refused for _, refused, _ in out] == [i == 3 for i in range(len(lines))]
+    assert [status for _, _, status in out] == ["rejected" if i == 3 else "approved" for i in range(len(lines))]
+    assert out[1][0].count("{") == 15 and json.loads(out[0][0])["a"] == 2
+
+
+def test_numbers_and_marks_come_out_as_they_stood(spark):
+    lines = ['{"a":12345678901234567890123456789012345678901234567890,"b":[1.50,-2E+5,0.1]}', '{"a":"\\ue000#12","b":3,"b":4}', '{"a":"\\ue000\\ue000#1","b":1.0}']
+    out = [clean for clean, _, _ in redacted(spark, lines)]
+    assert out[0] == lines[0]
+    assert out[1] == '{"a":"#12","b":4}'
+    assert out[2] == '{"a":"#1","b":1.0}'
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Session:
+        conf = type("C", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("S", (), {"getCheckpointDir": staticmethod(lambda: None), "master": "spark://host:7077", "applicationId": "a"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
+    assert shared_folder(spark)
+
+
+def test_plus_signs_and_relative_roots(spark, monkeypatch):
+    root = tree({"sessions/a+b.jsonl": ["{}"], "sessions/x/same.jsonl": ["{}"], "sessions/y/same.jsonl": ["{}"]})
+    monkeypatch.chdir(root)
+    paths = {r.path for r in read_layers(spark, str(root / "sessions"), None).collect()}
+    assert paths == {"sessions/a+b.jsonl", "sessions/x/same.jsonl", "sessions/y/same.jsonl"}
