@@ -51,7 +51,8 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, segments: int) -
         masks = [m for m in range(1 << SEGMENT) if m.bit_count() == radius]
         probes = remaining.select("query", F.posexplode("query").alias("segment", "own")).select(
             "query", "segment", F.explode(F.transform(F.lit(np.array(masks, np.int32)), lambda m: m.bitwiseXOR(F.col("own")))).alias("value"))
-        met = probes.join(index, ["segment", "value"]).withColumn("weights", _weights(F.col("query"), F.col("code")))
+        # the probes are many more than the queries they come from, which their estimate doesn't show: never broadcast them
+        met = probes.join(index.hint("shuffle_hash"), ["segment", "value"]).withColumn("weights", _weights(F.col("query"), F.col("code")))
         # each pair is met once: in the first of the segments with the fewest differing bits
         once = met.filter(F.array_position("weights", F.array_min("weights")) - 1 == F.col("segment")).filter(F.array_min("weights") == radius)
         new = once.select("query", "code", "first", F.aggregate("weights", F.lit(0), lambda x, y: x + y).alias("distance"))
