@@ -23,8 +23,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep texts that pass the base rules and resemble a language's own histograms."""
-    judged = quality.judge(docs.withColumn("__row", F.struct(*docs.columns)).select("__row", "text"), quality.language_references(docs))
+    """Keep texts that pass the base rules and resemble a language's own histograms, where theirs has any."""
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), "text", F.col("lang").cast("string").alias("__lang"))
+    judged = quality.judge(rows, quality.language_references(docs), lang="__lang")
     return judged.filter("kept").select("__row.*")
 
 

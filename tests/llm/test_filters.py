@@ -50,6 +50,32 @@ def test_rules_keep_prose_and_refuse_junk(spark):
     assert sum(good) == len(good) and sum(bad) <= 0.1 * len(bad)
 
 
+def test_rules_spare_languages_of_few_documents(spark):
+    folder = "/root/testdata/sf0.001"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    out = [r for r in quality.query(spark, folder).collect() if not r.base_failed and langs[r.doc_id] in ("es", "fr")]
+    assert all(sum(langs[r.doc_id] == x for r in out) < quality.LEAST_DOCUMENTS for x in ("es", "fr"))
+    assert all(r.kept for r in out if labels.get(r.doc_id) == 1)
+    assert sum(r.kept for r in out) == 31 and len(out) == 35
+
+
+@pytest.mark.parametrize("few", [1, 2, 7, 19])
+def test_rules_with_a_language_of_few_documents(spark, few):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").select("doc_id")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    passed = quality.judge(docs.join(labels, "doc_id", "left_semi"), {}).filter("kept").select(*docs.columns)
+    small = passed.filter("lang = 'es'").orderBy("doc_id").limit(few)
+    other = passed.filter("lang = 'fr'").selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang").limit(3)
+    some = docs.filter("lang IN ('en', 'de')").unionByName(small).unionByName(other).localCheckpoint()
+    references = quality.language_references(some)
+    assert set(references) == {"en", "de", "es"} and references["es"].documents == few
+    judged = quality.judge(some, references, lang="lang").filter("lang = 'es' OR lang IS NULL").collect()
+    assert len(judged) == few + 3 and all(r.kept for r in judged)
+    absent = quality.judge(small, {k: r for k, r in references.items() if k != "es"}, lang="lang").collect()
+    assert len(absent) == few and all(r.kept for r in absent)
+
+
 def test_rules_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     assert quality.language_references(empty) == {} and quality.judge(empty, {}).collect() == []

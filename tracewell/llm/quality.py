@@ -1,9 +1,10 @@
 """Quality rules: how far a text's characters and common words are from its language's.
 
 Two histograms of a text, of character classes and of the language's common words, are
-compared with the language's own by Jensen-Shannon distance.  A text is kept if one of the
-languages is near enough in both.  Histograms of few words are noisy: the limit is wider for
-them, and below a least length they aren't judged at all.
+compared with the language's own by Jensen-Shannon distance.  A text is kept if its own
+language, or another one of many documents, is near enough in both; a text whose language has
+no histograms is never judged by those of others.  Histograms of few words are noisy, a text's
+and a small language's: the limit is wider for them, and short texts aren't judged at all.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ from .common import map_batches, once_per_worker, table
 
 #: Common words of a language, and the least share of a task's words that a word needs to be counted in it.
 COMMON_WORDS, LEAST_SHARE = 40, 1e-4
-#: Documents that a language needs to have a histogram of its own.
+#: Documents that a language needs for its histograms to speak for texts of another label too.
 LEAST_DOCUMENTS = 20
-#: Distances from which a text is refused; the noise of a histogram of n words adds NOISE / sqrt(n).
+#: Distances from which a text is refused; the noise of histograms of n and m words adds NOISE * sqrt(1 / n + 1 / m).
 CHARACTER_LIMIT, WORD_LIMIT, NOISE = 0.30, 0.24, 1.3
 #: Characters and words that a text needs for the comparison.
 LEAST_CHARACTERS, LEAST_WORDS = 200, 50
@@ -95,11 +96,16 @@ def base_measures(text: bytes, words: list[bytes], decoded: str) -> tuple[int, i
 
 @dataclass
 class Reference:
-    """A language's histograms: of character classes, and of its common words with all others last."""
+    """A language's histograms: of character classes, and of its common words with all others last.
+
+    ``spread`` is 1 / m for histograms as noisy as those of m words.
+    """
 
     characters: np.ndarray
     words: dict[bytes, int]
     shares: np.ndarray
+    documents: int
+    spread: float
 
     def word_counts(self, counts: Counter, total: int) -> np.ndarray:
         out = np.zeros(len(self.words) + 1)
@@ -124,7 +130,7 @@ def near(text: str, words: list[bytes], reference: Reference, counts: Counter, c
         return False
     if len(words) < LEAST_WORDS:
         return True
-    return divergence(reference.word_counts(counts, len(words)), reference.shares) <= WORD_LIMIT + NOISE / math.sqrt(len(words))
+    return divergence(reference.word_counts(counts, len(words)), reference.shares) <= WORD_LIMIT + NOISE * math.sqrt(1 / len(words) + reference.spread)
 
 
 def language_references(docs: DataFrame) -> dict[str, Reference]:
@@ -142,7 +148,7 @@ def language_references(docs: DataFrame) -> dict[str, Reference]:
         def flush() -> pa.RecordBatch:
             rows = []
             for lang, (classes, words) in held.items():
-                total = int(classes[-1])
+                total = int(classes[-2])
                 rows += [(lang, 0, str(i).encode(), int(v)) for i, v in enumerate(classes) if v]
                 rows += [(lang, 1, w, v) for w, v in words.items() if v >= LEAST_SHARE * total * UNIT]
             columns = zip(*rows, strict=True) if rows else [[]] * 4
@@ -156,10 +162,10 @@ def language_references(docs: DataFrame) -> dict[str, Reference]:
                 words = data.split()
                 if lang is None or len(words) < 50 or 2 * repeated_words(words) > len(words):
                     continue
-                classes, weights = held.setdefault(lang, (np.zeros(len(CLASSES) + 1, np.int64), defaultdict(int)))
+                classes, weights = held.setdefault(lang, (np.zeros(len(CLASSES) + 2, np.int64), defaultdict(int)))
                 own = character_counts(data.decode("utf-8", "replace"))
-                classes[:-1] += own * UNIT // own.sum()
-                classes[-1] += 1
+                classes[:-2] += own * UNIT // own.sum()
+                classes[-2:] += 1, UNIT // len(words)
                 before = len(weights)
                 for w, n in Counter(data.lower().split()).items():
                     weights[w] += n * UNIT // len(words)
@@ -176,44 +182,51 @@ def language_references(docs: DataFrame) -> dict[str, Reference]:
     top = sums.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= COMMON_WORDS)
     rows: dict[str, tuple[np.ndarray, list[tuple[bytes, int]]]] = {}
     for r in top.orderBy("lang", "kind", "rank").collect():
-        classes, words = rows.setdefault(r["lang"], (np.zeros(len(CLASSES) + 1), []))
+        classes, words = rows.setdefault(r["lang"], (np.zeros(len(CLASSES) + 2), []))
         if r["kind"] == 0:
             classes[int(bytes(r["feature"]))] = r["weight"]
         else:
             words.append((bytes(r["feature"]), r["weight"]))
     out = {}
     for lang, (classes, words) in rows.items():
-        documents = classes[-1]
-        if documents >= LEAST_DOCUMENTS:
-            shares = np.array([w for _, w in words] + [max(0.0, documents * UNIT - sum(w for _, w in words))])
-            out[lang] = Reference(classes[:-1], {w: i for i, (w, _) in enumerate(words)}, shares)
+        documents = classes[-2]
+        shares = np.array([w for _, w in words] + [max(0.0, documents * UNIT - sum(w for _, w in words))])
+        # documents weigh the same, so the variance is the mean of theirs over their number
+        spread = classes[-1] / UNIT / documents**2
+        out[lang] = Reference(classes[:-2], {w: i for i, (w, _) in enumerate(words)}, shares, int(documents), spread)
     return out
 
 
-def judge(docs: DataFrame, references: dict[str, Reference], text: str = "text") -> DataFrame:
+def judge(docs: DataFrame, references: dict[str, Reference], text: str = "text", lang: str | None = None) -> DataFrame:
     """Add the measures of each row's whole text and whether it is kept.
 
     Input columns of the measures' names are replaced.  A null or empty text has no words and
-    fails the base rules; without any reference (an empty table) the base rules alone decide.
+    fails the base rules.  ``lang`` is the column (a string) with each text's language: where it
+    is null or has no reference the base rules alone decide.  Without it all texts are taken to
+    be of the languages of ``references``; if there are none the base rules alone decide.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(list(references.values()))
+    shared = docs.sparkSession.sparkContext.broadcast(references)
     names = [f.split(" ")[0] for f in MEASURES.split(", ")]
     others = docs.drop(*[n for n in names if n != text])
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in others.schema] + [MEASURES])
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64()] * 5 + [pa.bool_()] * 2
+        known = shared.value
+        of_many = {k: r for k, r in known.items() if r.documents >= LEAST_DOCUMENTS}
         for batch in batches:
             rows = []
-            for value in batch.column(text):
+            langs = batch.column(lang).to_pylist() if lang else [None] * batch.num_rows
+            for value, label in zip(batch.column(text), langs, strict=True):
                 decoded = value.as_py() or ""
                 data = decoded.encode("utf-8", "replace")
                 words = data.split()
                 base = base_measures(data, words, decoded)
                 kept = not base[-1]
-                if kept and shared.value:
+                if kept and (label in known if lang else known):
                     counts, classes = Counter(data.lower().split()), character_counts(decoded)
-                    kept = any(near(decoded, words, r, counts, classes) for r in shared.value)
+                    compared = {label: known[label], **of_many} if lang else known
+                    kept = any(near(decoded, words, r, counts, classes) for r in compared.values())
                 rows.append((*base, kept))
             columns = zip(*rows, strict=True) if rows else [[]] * len(names)
             made = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
@@ -224,4 +237,5 @@ def judge(docs: DataFrame, references: dict[str, Reference], text: str = "text")
 
 def query(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return judge(docs.select("doc_id", "text"), language_references(docs)).drop("text")
+    judged = judge(docs.select("doc_id", "text", F.col("lang").cast("string").alias("__lang")), language_references(docs), lang="__lang")
+    return judged.drop("text", "__lang")
