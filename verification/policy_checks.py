@@ -110,6 +110,16 @@ def policy_matrix_join(spark, sf):
     return rows.join(F.broadcast(matrix), "policy").select("conv_id", "turn", "captured")
 
 
+@check(f"SELECT conv_id, turn, field, {_CAPTURE} AS captured FROM conversations CROSS JOIN (VALUES {_FIELD_LIST}) AS f(field)")
+def policy_matrix_all_fields(spark, sf):
+    """As policy_matrix_join, of all fields and rows: a policy that the matrix lacks has is_captured's default."""
+    rows = V.read(spark, sf, "conversations").withColumn("policy", _policy_column())
+    fields = rows.withColumn("field", F.explode(F.array(*[F.lit(f) for f in C.FIELDS])))
+    joined = fields.join(F.broadcast(C.policy_matrix(spark)), ["policy", "field"], "left")
+    captured = F.coalesce("captured", C.is_captured(F.col("field"), F.col("policy")))
+    return joined.select("conv_id", "turn", "field", captured.alias("captured"))
+
+
 _OPTIONS = """
 SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN ' Conversations ' WHEN 1 THEN 'bogus' END AS a, CASE conv_id % 4 WHEN 0 THEN 'prompts-only' WHEN 1 THEN '  ' WHEN 2 THEN 'wrong' END AS b,
   CASE turn % 5 WHEN 0 THEN '12.5' WHEN 1 THEN '-3' WHEN 2 THEN ' Unlimited' WHEN 3 THEN 'x' END AS la, CASE conv_id % 3 WHEN 0 THEN '99999' WHEN 1 THEN '' END AS lb FROM conversations"""
