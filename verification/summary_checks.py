@@ -88,9 +88,9 @@ def tool_result(spark, sf):
     return _items(spark, sf).select("conv_id", "turn", M.tool_result(other, F.col("items")).alias("text"))
 
 
-def _payload(spark, sf):
-    """JSON tool arguments of each message, of a different form per turn."""
-    rows = V.read(spark, sf, "conversations").withColumn("head", F.substring("text", 1, 20))
+def _payload(spark, sf, head):
+    """JSON tool arguments of each message with the value ``head``, of a different form per turn."""
+    rows = V.read(spark, sf, "conversations").withColumn("head", head)
     h, n = F.col("head"), F.col("turn")
     forms = [
         ("bash", F.struct(h.alias("command"))),
@@ -112,7 +112,15 @@ def _payload(spark, sf):
   WHEN 3 THEN h WHEN 4 THEN h WHEN 5 THEN concat(h, ' | more') WHEN 6 THEN concat('{"count":', CAST(turn AS VARCHAR), '}') ELSE concat('[', CAST(turn AS VARCHAR), ']') END AS summary
   FROM (SELECT conv_id, turn, substr(text, 1, 20) AS h FROM conversations) AS c""")
 def tool_arguments(spark, sf):
-    return _payload(spark, sf).select("conv_id", "turn", M.tool_arguments(F.col("tool"), F.col("args")).alias("summary"))
+    return _payload(spark, sf, F.substring("text", 1, 20)).select("conv_id", "turn", M.tool_arguments(F.col("tool"), F.col("args")).alias("summary"))
+
+
+@check("""SELECT conv_id, turn, CASE turn % 8 WHEN 0 THEN text WHEN 1 THEN concat(text, '#', CAST(turn AS VARCHAR), ':') WHEN 2 THEN concat(text, '#1:', CAST(turn AS VARCHAR))
+  WHEN 3 THEN text WHEN 4 THEN text WHEN 5 THEN concat(text, ' | more') WHEN 6 THEN concat('{"count":', CAST(turn AS VARCHAR), '}') ELSE concat('[', CAST(turn AS VARCHAR), ']') END AS summary
+  FROM conversations""")
+def tool_arguments_whole(spark, sf):
+    """As tool_arguments, of the whole texts."""
+    return _payload(spark, sf, F.col("text")).select("conv_id", "turn", M.tool_arguments(F.col("tool"), F.col("args")).alias("summary"))
 
 
 @check("""SELECT conv_id, turn, CASE turn % 5 WHEN 0 THEN text WHEN 1 THEN text WHEN 2 THEN '[1 content item(s)]' WHEN 3 THEN '[object content]' ELSE '' END AS summary FROM conversations""")
