@@ -27,3 +27,13 @@ def test_tool_arguments_of_whole_texts(spark, tmp_path):
     out = {r.turn: r.summary for r in QUERIES["tool_arguments_whole"](spark, str(tmp_path)).collect()}
     want = [value, f"{value}#1:", f"{value}#1:2", value, value, f"{value} | more", '{"count":6}', "[7]"]
     assert out == dict(enumerate(want))
+
+
+def test_safe_remote_path_of_long_addresses(spark, tmp_path):
+    long = "https://" + "a/" * 1000
+    urls = [long + "b.git", long + "../c", long + "d"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    out = {r.page_id: r.path for r in QUERIES["safe_remote_path"](spark, str(tmp_path)).collect()}
+    assert out == {0: "a/" * 1000 + "b", 1: None, 2: "a/" * 1000 + "d"}
+    ok, text = compare(spark, SF, "safe_remote_path")
+    assert ok, text

@@ -352,7 +352,7 @@ def sanitize_remote(spark, sf):
 @check("""SELECT page_id, CASE WHEN NOT regexp_matches(p, '(^|/)(|\\.|\\.\\.)(/|$)') THEN p END AS path FROM (SELECT page_id, regexp_replace(regexp_replace(substr(url, 9), '^/+', ''), '(?i)\\.git$', '') AS p FROM pages) AS x""")
 def safe_remote_path(spark, sf):
     pages = V.read(spark, sf, "pages")
-    return pages.select("page_id", I.safe_remote_path(F.col("url").substr(9, 1000)).alias("path"))
+    return pages.select("page_id", I.safe_remote_path(F.expr("substr(url, 9)")).alias("path"))
 
 
 @check(f"""SELECT page_id, CASE WHEN len(parts) >= 2 THEN concat(parts[-2], '/', parts[-1]) END AS repo_identity, CASE WHEN len(parts) >= 2 THEN parts[-2] END AS repo_owner,
