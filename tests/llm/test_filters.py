@@ -76,6 +76,21 @@ def test_rules_with_a_language_of_few_documents(spark, few):
     assert len(absent) == few and all(r.kept for r in absent)
 
 
+def test_word_histograms_count_all_words(spark):
+    words = [f"{a}{b}" for a in "abcdefghij" for b in range(1200)]
+    texts = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)]
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    total = Counter()
+    for t in texts:
+        for w, n in Counter(t.split()).items():
+            total[w.encode()] += n * quality.UNIT // 100
+    want = sorted(total.items(), key=lambda x: (-x[1], x[0]))[: quality.COMMON_WORDS]
+    for partitions in (1, 3):
+        r = quality.language_references(docs.coalesce(1) if partitions == 1 else docs.repartition(partitions))["en"]
+        assert list(r.words) == [w for w, _ in want] and list(r.shares[:-1]) == [v for _, v in want]
+        assert r.shares.sum() == len(texts) * quality.UNIT
+
+
 def test_rules_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     assert quality.language_references(empty) == {} and quality.judge(empty, {}).collect() == []

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import map_batches, once_per_worker, table
 
-#: Common words of a language, and the least share of a task's words that a word needs to be counted in it.
-COMMON_WORDS, LEAST_SHARE = 40, 1e-4
+#: Common words of a language, and words that a task holds before it hands on their counts so far.
+COMMON_WORDS, TASK_WORDS = 40, 1 << 18
 #: Documents that a language needs for its histograms to speak for texts of another label too.
 LEAST_DOCUMENTS = 20
 #: Distances from which a text is refused; the noise of histograms of n and m words adds NOISE * sqrt(1 / n + 1 / m).
@@ -136,24 +136,22 @@ def near(text: str, words: list[bytes], reference: Reference, counts: Counter, c
 def language_references(docs: DataFrame) -> dict[str, Reference]:
     """Histograms of each value of ``lang``, from all documents that pass the base rules.
 
-    Each document has the same weight.  A word with less than LEAST_SHARE of the words of its
-    language in a task isn't counted there, so shares are right to that much; what comes to
-    the driver is a few dozen rows a language.
+    Each document has the same weight, and all words are counted, as integers, so the result
+    doesn't depend on partitions.  Tasks hand on their sums, and of the totals a task's COMMON_WORDS
+    most frequent of a language; what comes to the driver is a few dozen rows a language.
     """
     schema = "lang string, kind int, feature binary, weight bigint"
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[np.ndarray, dict[bytes, int]]] = {}
 
-        def flush() -> pa.RecordBatch:
-            rows = []
+        def flush() -> Iterator[pa.RecordBatch]:
             for lang, (classes, words) in held.items():
-                total = int(classes[-2])
-                rows += [(lang, 0, str(i).encode(), int(v)) for i, v in enumerate(classes) if v]
-                rows += [(lang, 1, w, v) for w, v in words.items() if v >= LEAST_SHARE * total * UNIT]
-            columns = zip(*rows, strict=True) if rows else [[]] * 4
+                for kind, sums in enumerate(({str(i).encode(): int(v) for i, v in enumerate(classes) if v}, words)):
+                    n = len(sums)
+                    columns = [lang] * n, [kind] * n, list(sums.keys()), list(sums.values())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.binary(), pa.int64()), strict=True)], ["lang", "kind", "feature", "weight"])
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.binary(), pa.int64()), strict=True)], ["lang", "kind", "feature", "weight"])
 
         size = 0
         for batch in batches:
@@ -170,11 +168,10 @@ def language_references(docs: DataFrame) -> dict[str, Reference]:
                 for w, n in Counter(data.lower().split()).items():
                     weights[w] += n * UNIT // len(words)
                 size += len(weights) - before
-                if size > 1 << 20:
-                    yield flush()
+                if size > TASK_WORDS:
+                    yield from flush()
                     size = 0
-        if held:
-            yield flush()
+        yield from flush()
 
     source = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").cast("binary").alias("text"))
     sums = map_batches(source, count, schema).groupBy("lang", "kind", "feature").agg(F.sum("weight").alias("weight"))
