@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tracewell.llm import classifier, langid, quality
 
@@ -113,6 +114,14 @@ def test_classifier_on_odd_rows(spark):
     assert classifier.classify(docs.limit(0), weights).collect() == []
 
 
+def test_classifier_takes_a_repeated_id_once(spark):
+    once = spark.createDataFrame([(i, f"word{i % 7} good{i % 2} text") for i in range(30)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, quality int")
+    again = once.unionByName(once.filter("doc_id = 3").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(200)))).drop("n"))
+    assert again.count() == 230
+    assert np.array_equal(classifier.train(again, labels), classifier.train(once, labels))
+
+
 def test_ftrl_equals_the_textbook_step():
     model = classifier.Ftrl.empty()
     slots, values = np.array([5, 9]), np.array([1.0, 0.5])

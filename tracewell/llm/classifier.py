@@ -80,8 +80,8 @@ def sigmoid(x: float) -> float:
 def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Weights from at most SAMPLE_ROWS rows of ``docs`` (doc_id, text) with a quality in ``labels``.
 
-    The rows are those with the smallest digests of the id; rows without an id, and ids with both
-    labels, teach nothing.  Without labels all weights are zero and every score is a half.
+    The rows are those with the smallest digests of the id, and of an id that repeats the text with
+    the smallest digest; rows without an id, and ids with both labels, teach nothing.  Without labels all weights are zero and every score is a half.
     """
     known = (
         labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id")
@@ -89,7 +89,9 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     )
     digest = F.xxhash64("doc_id")
     chosen = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("digest", digest).orderBy("digest", "doc_id").limit(SAMPLE_ROWS)
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("digest", "label", F.col("text").cast("string").cast("binary").alias("text"))
+    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "digest", "label", F.col("text").cast("string").cast("binary").alias("text"))
+    # one row of each id, found map-side: a repeated id is no more than a row of the sample
+    sample = rows.groupBy("doc_id", "digest", "label").agg(F.min(F.struct(F.xxhash64("text").alias("of_text"), "text")).alias("least")).select("digest", "label", "least.text")
 
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
