@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -55,7 +56,11 @@ def test_stretches_are_cut_where_no_word_reaches_over(library):
 
     word = regex.compile(byte_bpe.aligned_pattern(public_tokenizers.PATTERN))
     rng = random.Random(9)
-    for _ in range(500):
-        text = "".join(rng.choice("ab  \n\t'.9　") for _ in range(rng.randint(0, 30)))
-        assert "".join(byte_bpe._stretches(text)) == text
-        assert [w for s in byte_bpe._stretches(text) for w in word.findall(s)] == word.findall(text)
+    for wide in (True, False):
+        texts = ["".join(rng.choice("ab  \n\t'.9　\0" if wide else "ab .'9") for _ in range(rng.randint(0, 30))) for _ in range(300)]
+        texts = texts if wide else [" ".join(t.split()) for t in texts] + [" a", ""]
+        flat, ends = byte_bpe._stretches(pa.array(texts))
+        for text, start, end in zip(texts, [0, *ends[:-1]], ends, strict=True):
+            cut = flat[start:end].to_pylist()
+            assert "".join(cut) == text
+            assert [w for s in cut for w in word.findall(s)] == word.findall(text)

@@ -17,12 +17,14 @@ import base64
 import itertools
 import json
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -33,10 +35,14 @@ BUCKETS = 1 << 16
 #: Words of more bytes join all occurrences of the lowest rank in a step, shorter ones the first.
 LONG_WORD = 64
 #: Stretches between spaces after which a chunk ends, and words put together at once.
-CHUNK_STRETCHES, AT_ONCE = 6_000_000, 250_000
+CHUNK_STRETCHES, AT_ONCE = 5_000_000, 100_000
+#: Documents cut at once.
+ROWS = 500
 
 _BYTES = "ISO-8859-1"
-_WIDE, _CUT = re.compile(r"\s "), re.compile(r"(?<=\S)(?= )")
+_CUT = re.compile(r"(?<=\S)(?= )")
+#: White space before a space, where ``_CUT`` doesn't cut, or the character that marks where it does.
+_WIDE = "[" + "".join(f"\\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace()) + "] |\\x00"
 #: Marks around a piece; beyond the 256 characters that stand for bytes.
 _OPEN, _CLOSE = "\u0100", "\u0101"
 
@@ -158,7 +164,7 @@ def merged(word: Column, spans: Column, find: Callable[[Column], Column]) -> Col
 
 def marked(word: bytes) -> str:
     """A word's bytes, a character for each (ISO 8859-1), each in marks."""
-    return "".join(f"{_OPEN}{c}{_CLOSE}" for c in word.decode(_BYTES))
+    return _OPEN + (_CLOSE + _OPEN).join(word.decode(_BYTES)) + _CLOSE
 
 
 class Codec:
@@ -191,54 +197,67 @@ class Codec:
 _CHUNK = "doc_ids array<bigint>, counts array<int>, places array<int>, words array<string>"
 
 
-def _stretches(text: str) -> list[str]:
-    """A text cut before each space that follows no white space; no word reaches over such a place."""
-    if _WIDE.search(text):
-        return _CUT.split(text)
-    first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + piece for piece in rest]
+def _stretches(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Texts cut before each space that follows no white space, where no word reaches over: the stretches, and the end of each text's.
+
+    Empty stretches may come in between.
+    """
+    wide = pc.match_substring_regex(texts, _WIDE)
+    cut = pc.split_pattern(pc.replace_substring(texts, " ", "\0 "), "\0")
+    if not pc.any(wide).as_py():
+        return cut.flatten(), cut.offsets.to_numpy()[1:] - cut.offsets[0].as_py()
+    lists = [_CUT.split(t) if w else c for t, w, c in zip(texts.to_pylist(), wide.to_pylist(), cut.to_pylist(), strict=True)]
+    return pa.array(itertools.chain.from_iterable(lists), pa.string()), np.cumsum([len(x) for x in lists])
 
 
 class _Chunk:
-    """Documents, and the places of their stretches among the distinct ones."""
+    """Documents, and the places of their stretches among the distinct ones; the first pattern is for ASCII."""
 
-    def __init__(self, word: regex.Pattern):
-        self.word = word
+    def __init__(self, patterns: tuple[str, str]):
+        self.word, self.ascii_word = regex.compile(patterns[1]), regex.compile(patterns[0])
         self.ids, self.places, self.lengths, self.held = [], [], [], 0
         self.stretches: dict[str, int] = defaultdict(itertools.count().__next__)
 
-    def add(self, doc_id: int | None, text: str) -> None:
-        places = [self.stretches[s] for s in _stretches(text)] if text else []
-        self.ids.append(doc_id)
-        self.places.append(np.array(places, np.int32))
-        self.held += len(places)
+    def add(self, doc_ids: pa.Array, texts: pa.Array) -> None:
+        flat, ends = _stretches(pc.fill_null(texts, ""))
+        encoded = flat.dictionary_encode()
+        numbers = np.fromiter(map(self.stretches.__getitem__, encoded.dictionary.to_pylist()), np.int32, len(encoded.dictionary))
+        self.ids += doc_ids.to_pylist()
+        self.places.append(numbers[encoded.indices.to_numpy()])
+        self.lengths.append(np.diff(ends, prepend=0))
+        self.held += len(flat)
 
     def batch(self) -> pa.RecordBatch:
-        """The documents with the places of their words among the distinct words, which are marked."""
+        """The documents with the places of their words among the distinct words, which are marked; the chunk is empty then."""
         words: dict[str, int] = defaultdict(itertools.count().__next__)
-        cut = [[words[w] for w in self.word.findall(s)] for s in self.stretches]
-        lengths = np.array([len(c) for c in cut], np.int64)
-        flat = np.array(list(itertools.chain.from_iterable(cut)), np.int32)
-        stretches = np.concatenate(self.places)
-        places = _taken(flat, (np.cumsum(lengths) - lengths)[stretches], lengths[stretches])
-        until = np.concatenate([[0], np.cumsum(lengths[stretches])])
-        counts = np.diff(until[np.concatenate([[0], np.cumsum([len(p) for p in self.places])])])
-        columns = pa.array(self.ids, pa.int64()), pa.array(counts, pa.int32()), pa.array(places, pa.int32()), pa.array([marked(w.encode()) for w in words], pa.string())
+        lengths, flat = np.empty(len(self.stretches), np.int64), array("i")
+        for i, stretch in enumerate(self.stretches):
+            cut = (self.ascii_word if stretch.isascii() else self.word).findall(stretch)
+            lengths[i] = len(cut)
+            flat.extend(map(words.__getitem__, cut))
+        self.stretches.clear()
+        listed = pa.array((marked(w.encode()) for w in words), pa.string(), size=len(words))
+        words.clear()
+        stretches, sizes = np.concatenate(self.places), np.concatenate([[0], *self.lengths])
+        self.places.clear()
+        places = _taken(np.frombuffer(flat, np.int32), (np.cumsum(lengths) - lengths)[stretches], lengths[stretches])
+        counts = np.diff(np.concatenate([[0], np.cumsum(lengths[stretches])])[np.cumsum(sizes)])
+        columns = pa.array(self.ids, pa.int64()), pa.array(counts, pa.int32()), pa.array(places, pa.int32()), listed
         return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns], ["doc_ids", "counts", "places", "words"])
 
 
-def _chunker(pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _chunker(*patterns: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Cuts the documents of a task into chunks, a row each."""
 
     def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word = regex.compile(pattern)
-        chunk = _Chunk(word)
+        chunk = _Chunk(patterns)
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                chunk.add(doc_id, text.as_py() or "")
+            for at in range(0, len(batch), ROWS):
+                rows = batch.slice(at, ROWS)
+                chunk.add(rows.column("doc_id"), rows.column("text"))
                 if chunk.held >= CHUNK_STRETCHES:
                     yield chunk.batch()
-                    chunk = _Chunk(word)
+                    chunk = _Chunk(patterns)
         if chunk.ids:
             yield chunk.batch()
 
@@ -283,7 +302,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """
     codec = Codec(docs.sparkSession, path)
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = map_batches(source, _chunker(aligned_pattern(pattern)), _CHUNK)
+    chunks = map_batches(source, _chunker(pattern, aligned_pattern(pattern)), _CHUNK)
     encoded = chunks.select("doc_ids", "counts", "places", codec.encode_all(F.col("words")).alias("ids"))
     decoded = encoded.select("*", codec.decode_all(F.col("ids")).alias("bytes"))
     out = map_batches(decoded, _documents, "doc_id bigint, ids binary, decoded binary")
