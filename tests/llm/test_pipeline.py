@@ -27,6 +27,8 @@ def test_stages(spark):
         assert ids <= before
         if name != "packing":
             assert after.columns == docs.columns and [f.dataType for f in after.schema] == [f.dataType for f in docs.schema]
+        if name == "language":
+            assert {r.lang for r in rows} == {"de", "en", "es", "fr"}
         if name in ("quality", "near_copies"):
             assert len(ids) < len(before)
         if name == "near_copies":

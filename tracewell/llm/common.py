@@ -31,6 +31,17 @@ def map_batches(
     return df.mapInArrow(function, schema)
 
 
+def by_place(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named by their places, so that added ones clash with none, and these names."""
+    names = {name: f"c{i}" for i, name in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def by_name(df: DataFrame, names: dict[str, str], **replaced: Column) -> DataFrame:
+    """The columns that ``by_place`` renamed under their own names again, some with other values."""
+    return df.select(*[replaced.get(name, F.col(place)).alias(name) for name, place in names.items()])
+
+
 Held = TypeVar("Held")
 
 

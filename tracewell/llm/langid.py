@@ -25,7 +25,7 @@ REMEMBERED = 150_000
 EVIDENCE = 20
 UNDETERMINED = "und"
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> Counter:
@@ -35,8 +35,9 @@ def words_of(text: str) -> Counter:
         if token.isalpha():
             out[token] += n
         else:
-            for word in _LETTERS.findall(token):
-                out[word] += n
+            for run in _WORD.findall(token):  # has numerals too that are no decimal digits
+                for word in (run,) if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split():
+                    out[word] += n
     return out
 
 
@@ -46,37 +47,68 @@ def grams(word: str, n: int) -> Iterator[str]:
 
 
 class Backoff:
-    """Log frequencies of words and n-grams by language."""
+    """Log frequencies of words and n-grams by language: a row of a matrix for each."""
 
     def __init__(self, counts: dict[str, dict[str, int]]):
         self.languages = sorted(counts)
-        place = {lang: i for i, lang in enumerate(self.languages)}
-        tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]  # 0: words
-        for lang, words in counts.items():
-            for word, n in words.items():
-                for size in range(LONGEST + 1):
+        sizes = range(LONGEST + 1)  # 0: words
+        self.places: list[dict[str, int]] = [{} for _ in sizes]
+        entries: list[tuple[list[int], list[int], list[int]]] = [([], [], []) for _ in sizes]
+        for column, lang in enumerate(self.languages):
+            for word, n in counts[lang].items():
+                for size in sizes:
                     for key in (word,) if size == 0 else grams(word, size):
-                        row = tables[size].get(key)
-                        if row is None:
-                            row = tables[size][key] = np.zeros(len(place))
-                        row[place[lang]] += n
-        totals = [sum(t.values(), np.zeros(len(place))) for t in tables]
-        self.tables = [
-            {k: np.log((v + 0.5) / (total + 0.5 * len(t))) for k, v in t.items()} for t, total in zip(tables, totals, strict=True)
-        ]
-        self.memory: dict[str, np.ndarray | None] = {}
+                        place = self.places[size].setdefault(key, len(self.places[size]))
+                        for held, value in zip(entries[size], (place, column, n), strict=True):
+                            held.append(value)
+        self.rows = []
+        for places, (row, column, n) in zip(self.places, entries, strict=True):
+            sums = np.zeros((len(places), len(self.languages)))
+            np.add.at(sums, (row, column), n)
+            self.rows.append(np.log((sums + 0.5) / (sums.sum(0) + 0.5 * len(places))))
+        self._forget()
+
+    def _forget(self) -> None:
+        """What is remembered of words: a row of a matrix each, -1 for none."""
+        self.memory: dict[str, int] = {}
+        self.remembered = np.empty((0, len(self.languages)))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("memory", "remembered")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._forget()
+
+    @property
+    def tables(self) -> list[dict[str, np.ndarray]]:
+        """Rows by word (first) and by n-gram of each length."""
+        return [{key: rows[place] for key, place in places.items()} for places, rows in zip(self.places, self.rows, strict=True)]
 
     def score(self, word: str) -> np.ndarray | None:
         """The word's log frequency by language; None where not even a character of it is known."""
-        known = self.tables[0].get(word)
+        known = self.places[0].get(word)
         if known is not None:
-            return known
+            return self.rows[0][known]
         for n in range(min(LONGEST, len(word) + 2), 0, -1):
-            rows = [r for g in grams(word, n) if (r := self.tables[n].get(g)) is not None]
-            if rows and (n > 1 or len(rows) > 2):  # of the frame alone nothing follows
-                return sum(rows) / len(rows)
+            found = [r for g in grams(word, n) if (r := self.places[n].get(g)) is not None]
+            if found and (n > 1 or len(found) > 2):  # of the frame alone nothing follows
+                return sum(map(self.rows[n].__getitem__, found)) / len(found)
         return None
 
+    def _row(self, word: str) -> np.ndarray | None:
+        place = self.memory.get(word)
+        if place is not None:
+            return self.remembered[place] if place >= 0 else None
+        row = self.score(word)
+        if len(self.memory) < REMEMBERED and len(word) < 40:
+            if row is not None and len(self.memory) >= len(self.remembered):
+                self.remembered = np.resize(self.remembered, (max(1024, 2 * len(self.memory) + 2), len(self.languages)))
+            self.memory[word] = -1 if row is None else len(self.memory)
+            if row is not None:
+                self.remembered[self.memory[word]] = row
+        return row
+
     def predict(self, text: str | None) -> tuple[str, float]:
         """The likeliest language and its share of the evidence; `und` without a letter.
 
@@ -87,12 +119,7 @@ class Backoff:
             return UNDETERMINED, 0.0
         total, weight = np.zeros(len(self.languages)), 0
         for word, n in words.items():
-            if word in self.memory:
-                row = self.memory[word]
-            else:
-                row = self.score(word)
-                if len(self.memory) < REMEMBERED and len(word) < 40:
-                    self.memory[word] = row
+            row = self._row(word)
             if row is not None:
                 total += n * row
                 weight += n
@@ -105,11 +132,16 @@ class Backoff:
 
 
 def train(docs: DataFrame) -> Backoff:
-    """Fit on at most SAMPLE_ROWS rows with an id and a language, those with the smallest digests of the id."""
+    """Fit on at most SAMPLE_ROWS rows with an id and a language, those with the smallest digests of the id.
+
+    Of rows that repeat an id one is taken.
+    """
     digest = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     labelled = docs.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     chosen = labelled.select("doc_id").withColumn("digest", digest).orderBy("digest", "doc_id").limit(SAMPLE_ROWS).select("doc_id").distinct()
-    sample = labelled.join(F.broadcast(chosen), "doc_id", "left_semi").select(F.col("lang").cast("string").alias("lang"), "text")
+    rows = labelled.join(F.broadcast(chosen), "doc_id", "left_semi")
+    least = F.min(F.struct(F.xxhash64("text").alias("of_text"), F.col("lang").cast("string").alias("lang"), "text")).alias("least")
+    sample = rows.groupBy("doc_id").agg(least).select("least.lang", "least.text")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

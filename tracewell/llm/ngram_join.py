@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import map_batches, stage, table
+from .common import by_name, by_place, map_batches, stage, table
 from .components import connected_components
 
 #: Two sets link when LINK_NUM / LINK_DEN of their union is shared.
@@ -523,20 +523,21 @@ def keep_first(documents: DataFrame) -> DataFrame:
     _, named = classes_and_components(documents)
     best = named.groupBy("component").agg(F.min(F.struct(F.col("first").isNull().alias("none"), F.col("first").alias("first"), F.col("node").alias("node"))).alias("best"))
     kept = stage(best.select((~F.col("best.none")).alias("__has"), F.coalesce("best.first", F.lit(0)).alias("__id"), F.col("best.node").alias("__node"), F.lit(True).alias("__kept")), "kept")
-    columns = documents.columns
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema] + ["__node bigint"])
+    placed, names = by_place(documents)
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in placed.schema] + ["__node bigint"])
+    text, own_id = names["text"], names["doc_id"]
 
     def own_node(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t.encode("utf-8", "replace")) if (t := v.as_py()) else () for v in batch.column("text")]
+            sets = [shingles(t.encode("utf-8", "replace")) if (t := v.as_py()) else () for v in batch.column(text)]
             nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, nodes], [*batch.schema.names, "__node"])
 
-    keyed = map_batches(documents, own_node, schema).withColumns({
-        "__has": F.col("doc_id").isNotNull(), "__id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), "__node": F.coalesce("__node", F.lit(0)), "__none": F.col("__node").isNull(),
+    keyed = map_batches(placed, own_node, schema).withColumns({
+        "__has": F.col(own_id).isNotNull(), "__id": F.coalesce(F.col(own_id).cast("bigint"), F.lit(0)), "__node": F.coalesce("__node", F.lit(0)), "__none": F.col("__node").isNull(),
     })
     found = keyed.join(kept, ["__has", "__id", "__node"], "left").filter(F.col("__kept") | F.col("__none"))
-    return found.dropDuplicates(["__has", "__id", "__node"]).select(*columns)
+    return by_name(found.dropDuplicates(["__has", "__id", "__node"]), names)
 
 
 def query(spark, sf_dir):

@@ -111,11 +111,15 @@ def ratios(counts: Sequence[tuple[int, str, int]]) -> np.ndarray:
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> np.ndarray:
-    """The matrix of ratios from a bounded sample of documents; all near zero where there are none."""
+    """The matrix of ratios from a bounded sample of documents; all near zero where there are none.
+
+    Of rows that repeat an id one is taken.
+    """
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
     chosen = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("__key"), digest.alias("__digest")).orderBy("__digest").limit(SAMPLE_ROWS).select("__key").distinct()
-    sample = docs.join(F.broadcast(chosen), F.col(key) == F.col("__key"), "left_semi")
-    return ratios(pair_counts(sample.select(text), text))
+    rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__key", "left_semi")
+    sample = rows.groupBy("__key").agg(F.min(F.struct(F.xxhash64("__text").alias("of_text"), "__text")).alias("least")).select(F.col("least.__text").alias(text))
+    return ratios(pair_counts(sample, text))
 
 
 def _scored(value: Column, matrix: np.ndarray) -> Column:
