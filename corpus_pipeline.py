@@ -9,24 +9,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tracewell.llm import langid, ngram_join, packing, quality, secrets
-from tracewell.llm.common import stage, table
+from tracewell.llm.common import by_name, by_place, stage, table
 
 #: Share of the evidence that a text's language needs.
 LEAST_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep texts of a language that is told with some confidence; texts without a letter go."""
-    found = langid.identify(docs.withColumn("__row", F.struct(*docs.columns)).select("__row", "text"), langid.train(docs))
+    """Keep texts of a language that is told with some confidence, with that language as ``lang``.
+
+    Texts without a letter go, null and empty ones among them.  Rows with null ids and repeated
+    rows are judged like others.
+    """
+    rows, names = by_place(docs)
+    found = langid.identify(rows, langid.train(docs), names["text"])
     kept = found.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
-    return kept.select("__row.*")
+    return by_name(kept, names, lang=F.col("lang_pred").cast(docs.schema["lang"].dataType))
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep texts that pass the base rules and resemble a language's own histograms, where theirs has any."""
-    rows = docs.select(F.struct(*docs.columns).alias("__row"), "text", F.col("lang").cast("string").alias("__lang"))
-    judged = quality.judge(rows, quality.language_references(docs), lang="__lang")
-    return judged.filter("kept").select("__row.*")
+    """Keep texts that pass the base rules and resemble their language's own histograms, where these exist."""
+    rows, names = by_place(docs)
+    judged = quality.judge(rows, quality.language_references(docs), names["text"], names["lang"])
+    return by_name(judged.filter("kept"), names)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,14 +40,15 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace secrets in the texts by the names of their kinds."""
-    found = secrets.scan(docs.withColumn("__row", F.struct(*docs.columns)).select("__row", "text"), secrets.train(docs))
-    cleaned = secrets.redacted(F.col("text"), F.col("spans"))
-    return found.select(*[cleaned.alias(c) if c == "text" else F.length(cleaned).cast("bigint").alias(c) if c == "n_chars" else F.col("__row")[c].alias(c) for c in docs.columns])
+    """Replace secrets in the texts by the names of their kinds; rows with null ids and repeated rows stay."""
+    rows, names = by_place(docs)
+    found = secrets.scan(rows, secrets.train(docs), names["text"])
+    cleaned = secrets.redacted(F.col(names["text"]), F.col("spans"))
+    return by_name(found, names, text=cleaned, n_chars=F.length(cleaned).cast("bigint"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the texts in sequences of fixed length."""
+    """The pieces of the texts in sequences of fixed length, those of null ids and repeated rows too."""
     return packing.pack_documents(docs)
 
 
