@@ -255,17 +255,31 @@ PASSES_PER_PROJECTION = 3
 def redact_columns(
     df: DataFrame,
     *columns: str,
-    secrets: Iterable[tuple[str, str]] = (),
+    secrets: Iterable[tuple[str, str]] | DataFrame = (),
     enabled: bool = True,
     extra_shapes: Sequence[Shape] = (),
 ) -> DataFrame:
-    """Redact string columns, or every element of array-of-string columns, in place."""
+    """Redact string columns, or every element of array-of-string columns, in place.
+
+    Known secrets are few pairs of value and reason, or a table of them (columns value, reason) of
+    any size, whose values stand in no plan.
+    """
     if not enabled or not columns:
         return df
+    if isinstance(secrets, DataFrame):
+        from ..operators.known_secrets import redact_known
+
+        every = text_passes((), extra_shapes)
+        after = len(by_prefilter(P.PERSONAL_SHAPES))
+        shaped = _redact_by(df, columns, every[:-after])
+        return _redact_by(redact_known(shaped, *columns, secrets=secrets), columns, every[-after:])
+    return _redact_by(df, columns, text_passes(secrets, extra_shapes))
+
+
+def _redact_by(df: DataFrame, columns: Sequence[str], passes: Sequence[Callable[[Column], Column]]) -> DataFrame:
     arrays = {
         c for c in columns if isinstance(df.schema[c].dataType, ArrayType)
     }
-    passes = text_passes(secrets, extra_shapes)
     for start in range(0, len(passes), PASSES_PER_PROJECTION):
         group = passes[start : start + PASSES_PER_PROJECTION]
 

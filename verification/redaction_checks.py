@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import patterns as P, redaction as R, scanning as S
 from tracewell.operators import gates
+from tracewell.operators.known_secrets import redact_known
 from . import fixtures as V
 from .registry import check
 from .sqltext import (
@@ -110,6 +111,25 @@ def redact_exact_secrets(spark, sf):
     return _hashed(rows.withColumn("text", R.redact_exact(F.col("text"), _KNOWN)))
 
 
+_LONG_WORDS = (
+    "SELECT DISTINCT value, concat('benchmark word ', CAST(length(value) AS STRING)) AS reason FROM ("
+    " SELECT explode(split(text, ' ')) AS value FROM benchmark) AS w WHERE length(value) >= 8"
+)
+_SEPARATOR = "chr(1)"
+
+
+@check(
+    "WITH w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS v FROM benchmark), "
+    f"s AS (SELECT list(concat(v, {_SEPARATOR}, '[REDACTED:benchmark-word-', length(v), ':', substr(sha256(v), 1, 10), ']') ORDER BY length(v) DESC, v) AS known FROM w WHERE length(v) BETWEEN 8 AND 20000), "
+    f"r AS (SELECT doc_id, list_reduce(list_prepend(text, known), lambda t, x: replace(t, split_part(x, {_SEPARATOR}, 1), split_part(x, {_SEPARATOR}, 2))) AS text FROM documents, s) "
+    f"SELECT doc_id, {_DIGEST} FROM r"
+)
+def redact_secret_table(spark, sf):
+    """Every long word of the benchmark table as a known secret, in all documents."""
+    secrets = V.run(spark, sf, _LONG_WORDS)
+    return _hashed(redact_known(V.read(spark, sf, "documents").select("doc_id", "text"), "text", secrets=secrets))
+
+
 _STEPS = redaction_steps()
 
 
