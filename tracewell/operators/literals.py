@@ -53,10 +53,24 @@ def _plain(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield texts.map(plain_json, na_action="ignore").astype(object)
 
 
+def outside_strings(json_text: Column) -> Column:
+    """A JSON text with all its strings emptied."""
+    return F.regexp_replace(F.regexp_replace(json_text, r"\\.", ""), '"[^"]*"', '""')
+
+
+def has_odd_numbers(json_text: Column) -> Column:
+    """Whether a JSON text has a number that VARIANT may print otherwise.
+
+    What looks like one in a string, as in ids and times, is none; strings are only taken out
+    of texts that seem to have one.
+    """
+    return F.when(json_text.rlike(REWRITTEN), outside_strings(json_text).rlike(REWRITTEN)).otherwise(F.lit(False))
+
+
 def prepared(text: Column) -> Column:
     """``text``, or where VARIANT refuses or rewrites it, its plain form; null for what is no JSON."""
     parses = F.try_parse_json(text).isNotNull()
-    fit = parses & ~text.rlike(REWRITTEN) & ~text.contains(MARK[0]) & ~text.rlike(r"\\u[eE]000")
+    fit = parses & ~has_odd_numbers(text) & ~text.contains(MARK[0]) & ~text.rlike(r"\\u[eE]000")
     opens = F.ltrim(text).rlike(r"^[\[{\"0-9-]")
     anew = F.pandas_udf(_plain, "string")(F.when(~fit & opens, text))
     return F.when(fit, text).otherwise(anew)
