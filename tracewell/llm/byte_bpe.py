@@ -243,6 +243,7 @@ class _Chunk:
         places = _taken(np.frombuffer(flat, np.int32), (np.cumsum(lengths) - lengths)[stretches], lengths[stretches])
         counts = np.diff(np.concatenate([[0], np.cumsum(lengths[stretches])])[np.cumsum(sizes)])
         columns = pa.array(self.ids, pa.int64()), pa.array(counts, pa.int32()), pa.array(places, pa.int32()), listed
+        pa.default_memory_pool().release_unused()  # the worker stays while the chunk is folded
         return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns], ["doc_ids", "counts", "places", "words"])
 
 
