@@ -259,6 +259,7 @@ def _chunker(*patterns: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa
                 if chunk.held >= CHUNK_STRETCHES:
                     yield chunk.batch()
                     chunk = _Chunk(patterns)
+        batch = rows = None  # not held while the last chunk is folded
         if chunk.ids:
             yield chunk.batch()
 
