@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scanning import findings, findings_by_record
 
@@ -102,3 +102,33 @@ def external_gate(
     return joined.withColumn(
         "status", F.when(F.col("__tripped"), REJECTED).otherwise(F.col("status"))
     ).drop("__tripped")
+
+
+def scan_status(
+    spark: SparkSession,
+    findings: DataFrame | None,
+    enabled: bool = True,
+    required: bool = False,
+    warned: bool = False,
+    exit_code: int | None = None,
+) -> DataFrame:
+    """One row that says what came of an external scan: whether it was asked for, required and
+    ran, its exit code, how many findings, and the warning, null if there is none."""
+    ran = enabled and findings is not None
+    if not enabled:
+        warning = "external scan skipped"
+    elif not ran:
+        warning = "external scan required but did not run" if required else "external scan did not run; built-in residual scan only"
+    elif exit_code:
+        warning = f"external scan exited with status {exit_code}"
+    else:
+        warning = "external scan gave a warning" if warned else None
+    count = findings.agg(F.count("*").alias("findings")) if ran else spark.range(1).select(F.lit(0).cast("bigint").alias("findings"))
+    return count.select(
+        F.lit(enabled).alias("enabled"),
+        F.lit(enabled and required).alias("required"),
+        F.lit(ran).alias("available"),
+        F.lit(exit_code if ran else None).cast("int").alias("exit_code"),
+        "findings",
+        F.lit(warning).cast("string").alias("warning"),
+    )

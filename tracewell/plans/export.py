@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.redaction import placeholder, redact_columns, strip_path_roots
 from ..operators import gates, literals
 from ..operators.tree import json_depth, shape_export
-from ..sources.jsonl import LINE_ORDER, read_layers
-from .workspace import materialize
+from ..sources.files import publish, write_parts
+from ..sources.jsonl import list_layers, read_layers
+from .workspace import drop_stage, materialize, stage_path
 
 FILE_KEYS = ("layer", "path")
 #: Levels that a line may be nested; the walk is one projection for each level that the data has.
@@ -49,31 +50,56 @@ def redact_lines(
     )
 
 
-def manifest(clean_lines: DataFrame, secrets: Sequence[tuple[str, str]] = ()) -> DataFrame:
+def manifest(
+    clean_lines: DataFrame, secrets: Sequence[tuple[str, str]] = (), files: DataFrame | None = None
+) -> DataFrame:
     """One row per file: bytes, findings before and after, approved or rejected.
 
-    A file with a refused line is rejected.
+    A file with a refused line is rejected.  With ``files`` (layer, path, file_bytes,
+    output_bytes) there is a row for each of them, empty ones too, and bytes are those of the
+    files, line ends included; without, they are those of the lines.
     """
     audited = gates.audit(clean_lines, "value", "clean", FILE_KEYS, secrets)
-    if "refused" not in clean_lines.columns:
+    if "refused" in clean_lines.columns:
+        refused = clean_lines.where("refused").groupBy(*FILE_KEYS).agg(F.count("*").alias("__refused"))
+        status = F.when(F.col("__refused").isNotNull(), gates.REJECTED).otherwise(F.col("status"))
+        audited = audited.join(refused, list(FILE_KEYS), "left").withColumn("status", status).drop("__refused")
+    if files is None:
         return audited
-    refused = clean_lines.where("refused").groupBy(*FILE_KEYS).agg(F.count("*").alias("__refused"))
-    status = F.when(F.col("__refused").isNotNull(), gates.REJECTED).otherwise(F.col("status"))
-    return audited.join(refused, list(FILE_KEYS), "left").withColumn("status", status).drop("__refused")
+    listed = files.select(*FILE_KEYS, F.col("file_bytes").alias("input_bytes"), "output_bytes")
+    return listed.join(audited.drop("input_bytes", "output_bytes"), list(FILE_KEYS), "left").withColumn(
+        "status", F.coalesce("status", F.lit(gates.APPROVED))
+    )
 
 
 def training_index(approved: DataFrame) -> DataFrame:
     return approved.select(*FILE_KEYS, F.lit(TRAINING_FORMAT).alias("format"))
 
 
-def report(manifest_rows: DataFrame) -> DataFrame:
-    """One row: how many files, approved and rejected."""
+def report(manifest_rows: DataFrame, scan: DataFrame | None = None) -> DataFrame:
+    """One row: how many files, approved and rejected, and what the external scan came to."""
     status = F.col("status")
-    return manifest_rows.agg(
+    counts = manifest_rows.agg(
         F.count_if(status == gates.APPROVED).alias("approved"),
         F.count_if(status == gates.REJECTED).alias("rejected"),
         F.count("*").alias("files"),
     )
+    return counts if scan is None else counts.crossJoin(scan.select(F.struct("*").alias("external_scan")))
+
+
+def review(report_row: DataFrame) -> DataFrame:
+    """The lines of a note for whoever reviews the export (column ``value``)."""
+    scan = F.col("external_scan")
+    ran = F.when(~scan["enabled"], "skipped").when(scan["available"], "ran").otherwise("unavailable")
+    lines = (
+        F.lit("# Redacted export"),
+        F.concat(F.lit("Status: "), F.when(F.col("rejected") == 0, gates.APPROVED).otherwise(gates.REJECTED)),
+        *[F.concat(F.lit(f"- {name.capitalize()}: "), F.col(name)) for name in ("files", "approved", "rejected")],
+        F.concat(F.lit("- External scan: "), ran, F.lit(", required="), scan["required"], F.lit(", findings="), scan["findings"]),
+        F.lit("- Training index: training-index"),
+        F.lit("Review approved files before they are used for training or shared."),
+    )
+    return report_row.select(F.explode(F.array(*lines)).alias("value"))
 
 
 def source_roots(sessions_dir: str | None, raw_trace_dir: str | None) -> list[str]:
@@ -94,39 +120,42 @@ def export_redacted(
     scanner_lines: DataFrame | None = None,
     scanner_required: bool = False,
     scanner_warning: bool = False,
+    scanner_enabled: bool = True,
+    scanner_exit_code: int | None = None,
     glob: str = "*.jsonl",
     depth: int | None = None,
 ) -> DataFrame:
     """Run the export and return its report row.
 
     ``scanner_lines`` (column ``line``) is the output of an external scanner over an
-    earlier run; None means it did not run.  Files are written sorted by path and line;
-    the range partitioning splits a file too large for one task.
+    earlier run; None means it did not run.  An exit code other than 0 counts as a warning.
+    Each input file has one redacted output below ``out_dir``, at the path that manifest and
+    training index name: ``sessions/...`` or ``raw-traces/...``, with the line ends of the input
+    as line feeds.
     """
     lines = read_layers(spark, sessions_dir, raw_trace_dir, glob)
     roots = source_roots(sessions_dir, raw_trace_dir)
     clean = materialize(redact_lines(lines, roots, secrets, depth), "export-lines")
-    ordered = [*FILE_KEYS, *LINE_ORDER]
-    (
-        clean.select(*ordered, F.col("clean").alias("value"))
-        .repartitionByRange(*ordered)
-        .sortWithinPartitions(*ordered)
-        .write.mode("overwrite")
-        .partitionBy("layer")
-        .json(f"{out_dir}/data")
-    )
-    found = None if scanner_lines is None else gates.scanner_findings(scanner_lines, "line")
-    rows = materialize(
-        gates.external_gate(manifest(clean, secrets), found, scanner_warning, scanner_required), "manifest"
-    )
+    listed = materialize(list_layers(spark, sessions_dir, raw_trace_dir, glob), "export-files")
+    folder = stage_path(spark, "export-parts")
+    parts = materialize(write_parts(clean, folder, "clean"), "export-part-list")
+    written = materialize(publish(listed, parts, folder, out_dir), "export-published")
+    drop_stage(spark, folder)
+    files = listed.join(written, list(FILE_KEYS))
+    found = None if scanner_lines is None or not scanner_enabled else gates.scanner_findings(scanner_lines, "line")
+    failed = scanner_enabled and (scanner_warning or bool(scanner_exit_code))
+    gated = gates.external_gate(manifest(clean, secrets, files), found, failed, scanner_enabled and scanner_required)
+    rows = materialize(gated, "manifest")
     approved = rows.where(F.col("status") == gates.APPROVED)
+    scan = gates.scan_status(spark, found, scanner_enabled, scanner_required, scanner_warning, scanner_exit_code)
     outputs = {
         "manifest": rows,
         "approved": approved,
         "rejected": rows.where(F.col("status") == gates.REJECTED),
         "training-index": training_index(approved),
-        "report": report(rows),
+        "report": materialize(report(rows, scan), "report"),
     }
     for name, df in outputs.items():
         df.write.mode("overwrite").json(f"{out_dir}/{name}")
+    review(outputs["report"]).coalesce(1).write.mode("overwrite").text(f"{out_dir}/review")
     return outputs["report"]

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .files import list_files
+
 SESSIONS, RAW_TRACES = "session", "raw-trace"
 OUTPUT_FOLDER = {SESSIONS: "sessions", RAW_TRACES: "raw-traces"}
-LINES = "value string, file string, file_bytes bigint, block_start bigint, row bigint"
+LINES = "value string, line_bytes bigint, file string, file_bytes bigint, block_start bigint, row bigint"
 LINE_ORDER = ("block_start", "row")
 
 
@@ -15,12 +17,14 @@ def read_lines(spark: SparkSession, root: str, glob: str = "*.jsonl") -> DataFra
     """Every line of the matching files below ``root``; none if there is no such folder.
 
     (block_start, row) orders the lines of a file, also where a large file is read in
-    several splits.
+    several splits.  Lines end with a line feed, or a carriage return and one, which are no part
+    of ``value``; ``line_bytes`` counts the return.
     """
     try:
         files = (
             spark.read.option("recursiveFileLookup", True)
             .option("pathGlobFilter", glob)
+            .option("lineSep", "\n")
             .text(root)
         )
     except AnalysisException as error:
@@ -28,7 +32,8 @@ def read_lines(spark: SparkSession, root: str, glob: str = "*.jsonl") -> DataFra
             raise
         return spark.createDataFrame([], LINES)
     return files.select(
-        "value",
+        F.regexp_replace("value", r"\r\z", "").alias("value"),
+        F.octet_length("value").cast("bigint").alias("line_bytes"),
         # a plus sign is one in a path, not a space
         F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"),
         F.col("_metadata.file_size").alias("file_bytes"),
@@ -69,3 +74,22 @@ def read_layers(
     if not layers:
         return spark.createDataFrame([], f"layer string, path string, {LINES}")
     return layers[0] if len(layers) == 1 else layers[0].unionByName(layers[1])
+
+
+def list_layers(
+    spark: SparkSession,
+    sessions_dir: str | None,
+    raw_trace_dir: str | None,
+    glob: str = "*.jsonl",
+) -> DataFrame:
+    """(layer, path, file_bytes) of all files that the lines come from, and of empty files."""
+    layers = [
+        list_files(spark, root, glob).select(
+            F.lit(layer).alias("layer"), relative_path(F.col("file"), qualified(spark, root), layer).alias("path"), "file_bytes"
+        )
+        for layer, root in ((SESSIONS, sessions_dir), (RAW_TRACES, raw_trace_dir))
+        if root
+    ]
+    if not layers:
+        return spark.createDataFrame([], "layer string, path string, file_bytes bigint")
+    return layers[0] if len(layers) == 1 else layers[0].unionByName(layers[1])

@@ -83,6 +83,28 @@ def training_index(spark, sf):
     return E.training_index(rows.where("status = 'approved'"))
 
 
+_OWN_CLEAN = chain(_BASE, "doc_id, source, lang, layer, value", _STEPS) + f""", clean_lines AS (SELECT layer, source,
+  CASE WHEN doc_id % 7 = 0 THEN value WHEN doc_id % 3 > 0 THEN {_CLEAN_RECORD} ELSE text END AS clean FROM s{len(_STEPS)})"""
+
+
+@check(_OWN_CLEAN + """ SELECT layer, concat(CASE WHEN layer = 'session' THEN 'sessions' ELSE 'raw-traces' END, '/origin=', source) AS folder, CAST(count(*) AS BIGINT) AS lines, CAST(sum(strlen(clean) + 1) AS BIGINT) AS bytes,
+  CAST(sum(strlen(clean) + 1) AS BIGINT) AS listed_bytes, CAST(sum(('0x' || substr(md5(clean), 1, 8))::BIGINT) AS BIGINT) AS digest FROM clean_lines GROUP BY ALL""")
+def export_data(spark, sf):
+    """The whole job: files of both layers are exported, and the outputs read back where the manifest says."""
+    folder = f"{shared_folder(spark)}/export-{uuid.uuid4().hex}"
+    rows = _lines(spark, sf).select("layer", F.col("path").alias("origin"), "value")
+    roots = {jsonl.SESSIONS: f"{folder}/in/sessions", jsonl.RAW_TRACES: f"{folder}/in/raw"}
+    for layer, root in roots.items():
+        rows.where(F.col("layer") == layer).drop("layer").write.partitionBy("origin").text(root)
+    E.export_redacted(spark, f"{folder}/out", *roots.values(), glob="*.txt", depth=3)
+    listed = spark.read.schema("layer string, path string, output_bytes bigint").json(f"{folder}/out/manifest")
+    back = jsonl.read_layers(spark, *[f"{folder}/out/{place}" for place in jsonl.OUTPUT_FOLDER.values()], "*.txt")
+    digest = F.conv(F.substring(F.md5("value"), 1, 8), 16, 10).cast("bigint")
+    files = back.groupBy("layer", "path").agg(F.count("*").alias("lines"), F.sum(F.octet_length("value") + 1).alias("bytes"), F.sum(digest).alias("digest"))
+    return listed.join(files, ["layer", "path"]).groupBy("layer", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")).agg(
+        F.sum("lines").alias("lines"), F.sum("bytes").cast("bigint").alias("bytes"), F.sum("output_bytes").alias("listed_bytes"), F.sum("digest").alias("digest"))
+
+
 _REPEATED = """SELECT 'session' AS layer, concat('c', CAST(conv_id AS VARCHAR(20))) AS path, conv_id, turn, concat('{"a":1,"a":', CAST(turn AS VARCHAR(20)), ',"password":"p', CAST(turn AS VARCHAR(20)),
   'x","note":{"apiKey":1,"apiKey":', CAST(conv_id AS VARCHAR(20)), '}}') AS value FROM conversations"""
 
