@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F, types as Ty
 
 from tracewell.operators import delivery as D, records
+from tracewell.operators.running import number_rows
 from tracewell.plans import export as E
 from tracewell.plans.workspace import shared_folder
 from tracewell.sources import jsonl, raw_trace
@@ -194,6 +195,32 @@ def raw_trace_append(spark, sf):
     return back.groupBy(F.col("session").cast("bigint").alias("part"), "project").agg(F.count("*").alias("n"))
 
 
+@check("""SELECT concat('p', CAST(conv_id % 3 AS VARCHAR)) AS project, count(DISTINCT conv_id) AS files, count(*) AS lines, CAST(sum(strlen(value) + 1) AS BIGINT) AS bytes, CAST(sum(place * turn) AS BIGINT) AS order_digest, CAST(sum(('0x' || substr(md5(value), 1, 8))::BIGINT) AS BIGINT) AS digest
+  FROM (SELECT conv_id, turn, concat('{"c":', CAST(conv_id AS VARCHAR), ',"n":', CAST(turn AS VARCHAR), ',"role":"', role, '","type":"tool_call"}') AS value, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place FROM conversations) AS r GROUP BY ALL""")
+def raw_trace_epochs(spark, sf):
+    """Three epochs, one of them replayed, a compaction, a replay after it; then a file per session, read back in order."""
+    turns = V.read(spark, sf, "conversations")
+    file = F.concat(F.lit("/x/sessions/p"), (F.col("conv_id") % 3).cast("string"), F.lit("/c"), F.col("conv_id").cast("string"), F.lit(".jsonl"))
+    record = F.to_json(F.struct(F.lit("tool_call").alias("type"), F.col("turn").alias("n"), F.col("conv_id").alias("c"), "role"))
+    rows = turns.select(file.alias("session_file"), record.alias("record"), "turn")
+    shaped = raw_trace.shaped_records(rows, order="turn", depth=2)
+    folder = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    epoch = F.least(F.floor(F.col("seq") / 2), F.lit(2))
+    for n in (0, 1, 1, 2):
+        raw_trace.append_epoch(shaped.where(epoch == n), f"{folder}/runs", n)
+    raw_trace.compact(spark, f"{folder}/runs")
+    raw_trace.append_epoch(shaped.where(epoch == 2), f"{folder}/runs", 2)
+    raw_trace.session_files(spark, f"{folder}/runs", f"{folder}/out")
+    lines = jsonl.read_lines(spark, f"{folder}/out")
+    path = F.regexp_extract("file", "/out/(.*)$", 1)
+    placed = number_rows(lines.select(path.alias("path"), "value", "block_start", "row"), ["path"], ["block_start", "row"], F.col("block_start"), "place")
+    turn = F.get_json_object("value", "$.n").cast("bigint")
+    digest = F.conv(F.substring(F.md5("value"), 1, 8), 16, 10).cast("bigint")
+    return placed.groupBy(F.split("path", "/")[0].alias("project")).agg(
+        F.count_distinct("path").alias("files"), F.count("*").alias("lines"), F.sum(F.octet_length("value") + 1).cast("bigint").alias("bytes"),
+        F.sum(F.col("place") * turn).cast("bigint").alias("order_digest"), F.sum(digest).cast("bigint").alias("digest"))
+
+
 @check("""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'generation-create' ELSE 'span-create' END AS type, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey + 5 ELSE o_orderkey END AS timestamp,
   CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END AS model FROM orders UNION ALL SELECT c_custkey, 'trace-create', c_custkey, NULL FROM customer""")
 def ingestion_events(spark, sf):
