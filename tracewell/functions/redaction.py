@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -34,6 +35,13 @@ def normalize_key(key: Column) -> Column:
     return normalize_name(key, "_")
 
 
+def json_string(text: Column) -> Column:
+    """JSON literal of a string."""
+    return F.regexp_replace(
+        F.regexp_replace(F.to_json(F.struct(text.alias("s"))), r'^\{"s":', ""), r"\}$", ""
+    )
+
+
 def _is_sensitive_normalized(key: Column) -> Column:
     return (
         ~key.rlike(P.PUBLIC_KEY)
@@ -175,21 +183,27 @@ def prepare_secrets(secrets: Iterable[tuple[str, str]]) -> list[tuple[str, str]]
     return sorted(kept.items(), key=lambda item: -len(item[0]))
 
 
-def secrets_from_settings(settings: Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
-    """The (value, key) pairs of a settings list whose key names a secret."""
-    import re
+def _normalized(key: str) -> str:
+    spaced = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", key)
+    return re.sub(r"[^a-zA-Z0-9]+", "_", spaced).strip("_").lower()
 
-    def normalized(key: str) -> str:
-        spaced = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", key)
-        return re.sub(r"[^a-zA-Z0-9]+", "_", spaced).strip("_").lower()
 
-    def secret(key: str) -> bool:
-        name = normalized(key)
-        if re.search(P.PUBLIC_KEY, name) or re.search(P.TOKEN_COUNT_KEY, name):
-            return False
-        return bool(re.search(P.SENSITIVE_KEY, name) or re.search(P.TOKEN_KEY, name))
+def names_secret(key: str) -> bool:
+    """:func:`is_sensitive_key` of a name."""
+    name = _normalized(key)
+    if re.search(P.PUBLIC_KEY, name) or re.search(P.TOKEN_COUNT_KEY, name):
+        return False
+    return bool(re.search(P.SENSITIVE_KEY, name) or re.search(P.TOKEN_KEY, name))
 
-    return [(value, key) for key, value in settings if secret(key)]
+
+def hides_value(key: str) -> bool:
+    """Whether a member of that name is secret or binary."""
+    return names_secret(key) or bool(re.search(P.BINARY_KEY, _normalized(key)))
+
+
+def secrets_from_settings(settings: Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The (value, key) pairs of a settings list whose key names a secret."""
+    return [(value, key) for key, value in settings if names_secret(key)]
 
 
 def redact_exact(text: Column, secrets: Sequence[tuple[str, str]]) -> Column:

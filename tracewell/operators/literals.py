@@ -12,8 +12,11 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
+from . import outline
+
 #: A private-use character and a sign in front of a number's literal.
 MARK = "\ue000#"
 #: Numbers that VARIANT may print otherwise: many digits, exponents, zeros at the end of a fraction.
@@ -76,6 +79,49 @@ def prepared(text: Column) -> Column:
     return F.when(fit, text).otherwise(anew)
 
 
+#: In front of a member's name: a private-use character and the member's number in its object.
+PLACE, PLACE_DIGITS = "\ue001", 8
+
+
+def _numbered(value):
+    """Members by number, numbers marked, strings that look marked with one more mark character."""
+    if isinstance(value, outline.Literal):
+        return MARK + value
+    if isinstance(value, str):
+        return MARK[0] + value if value.startswith(MARK[0]) else value
+    if isinstance(value, dict):
+        return {f"{PLACE}{i:0{PLACE_DIGITS}}{k}": _numbered(v) for i, (k, v) in enumerate(outline.members(value, by_name=False))}
+    return [_numbered(v) for v in value] if isinstance(value, list) else value
+
+
+def numbered_json(text: str | None) -> str | None:
+    """The text with marked numbers and with names that sort in document order; None if it is no JSON or nested too deep for a VARIANT."""
+    try:
+        return None if text is None else json.dumps(_numbered(outline.parse(text)), separators=(",", ":"))
+    except (ValueError, RecursionError):
+        return None
+
+
+def numbered(text: Column) -> Column:
+    """:func:`numbered_json` in Arrow batches."""
+
+    def batch(texts: pa.Array) -> pa.Array:
+        return pa.array([numbered_json(t) for t in texts.to_pylist()], pa.string())
+
+    return F.arrow_udf(batch, "string")(text)
+
+
+def name_of(key: Column) -> Column:
+    """A numbered member's name."""
+    return F.substring(key, PLACE_DIGITS + 2, 2**31 - 1)
+
+
+def without_places(json_text: Column) -> Column:
+    """A numbered JSON text as it stood: names without numbers, numbers without marks."""
+    names = F.regexp_replace(json_text, f"{PLACE}[0-9]{{{PLACE_DIGITS}}}", "")
+    return F.regexp_replace(names, f'"{MARK}([^"]*)"', "$1")
+
+
 def is_marked(string: Column) -> Column:
     return F.coalesce(F.startswith(string, F.lit(MARK)), F.lit(False))
 

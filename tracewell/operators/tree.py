@@ -6,8 +6,8 @@ through the text redaction as an array column, and the array is joined back to
 JSON.  No row leaves its partition: there is neither explode nor shuffle, so the
 cost is that of a map over the input at any scale.
 
-Objects are ordered by key (the VARIANT order), which is also the order budgets
-count in.
+Objects are ordered by key (the VARIANT order), or as they stand where asked for; that is
+also the order budgets count in.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from ..functions.redaction import (
     blob_placeholder,
     is_binary_key,
     is_sensitive_key,
+    json_string,
     placeholder,
     redact_columns,
 )
@@ -39,13 +40,6 @@ def _type_of(v: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
 
 
-def _json_string(text: Column) -> Column:
-    """JSON literal of a string."""
-    return F.regexp_replace(
-        F.regexp_replace(F.to_json(F.struct(text.alias("s"))), r'^\{"s":', ""), r"\}$", ""
-    )
-
-
 class _Walk:
     """The rules of one walk; every method is an expression on node structs.
 
@@ -62,9 +56,11 @@ class _Walk:
         field_of: Callable[[Column], Column] | None,
         captured: Callable[[Column], Column],
         marked: bool = False,
+        by_name: bool = True,
     ):
         self.redact = redact
         self.marked = marked
+        self.by_name = by_name
         self.limits = limits
         self.field_of = field_of
         self.captured = captured
@@ -118,9 +114,26 @@ class _Walk:
             F.coalesce(f["hide"], state)
         )
 
+    def _members(self, v: Column) -> Column:
+        """Key and value of an object's members in the order of the walk; null for no object."""
+        entries = F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
+        if self.by_name:
+            return entries
+        return F.transform(entries, lambda e: F.struct(literals.name_of(e["key"]).alias("key"), e["value"].alias("value")))
+
+    def _member(self, v: Column, name: str) -> Column:
+        """A member's value; null where there is none."""
+        if self.by_name:
+            return F.try_variant_get(v, f"$.{name}", "variant")
+        return F.get(F.filter(self._members(v), lambda e: e["key"] == name), F.lit(0))["value"]
+
+    def text_of(self, v: Column) -> Column:
+        """The JSON text of a value."""
+        return F.to_json(v) if self.by_name else literals.without_places(F.to_json(v))
+
     def _facts(self, n: Column) -> Column:
         """Children of a container with what the rules ask about them, each once."""
-        members = F.map_entries(F.try_variant_get(n["v"], "$", "map<string,variant>"))
+        members = self._members(n["v"])
         items = F.transform(
             F.try_variant_get(n["v"], "$", "array<variant>"),
             lambda v: F.struct(F.lit(None).cast("string").alias("key"), v.alias("value")),
@@ -147,7 +160,7 @@ class _Walk:
         mode = n["mode"]
 
         def field_class(f: Column) -> Column:
-            role = F.coalesce(F.try_variant_get(n["v"], "$.role", "string"), F.lit(""))
+            role = F.coalesce(F.try_variant_get(self._member(n["v"], "role"), "$", "string"), F.lit(""))
             field = (
                 F.when(mode == RECORD, self.field_of(f["key"]))
                 .when(mode == METADATA, policies.metadata_field(f["key"]))
@@ -159,7 +172,7 @@ class _Walk:
                 .otherwise(n["field"])
             )
             listed = (f["kind"] == "ARRAY") | (
-                _type_of(F.try_variant_get(f["v"], "$.messages", "variant")) == "ARRAY"
+                _type_of(self._member(f["v"], "messages")) == "ARRAY"
             )
             return f.withField("field", field).withField("listed", listed)
 
@@ -328,13 +341,13 @@ def measure_depth(df: DataFrame, column: str) -> int:
 _NODES = "__tree_nodes"
 
 
-def _masked_text(n: Column, bounded: bool, marked: bool = False) -> Column:
+def _masked_text(n: Column, bounded: bool, walk: _Walk) -> Column:
     """Placeholder of a value hidden because of its key."""
     kind = _type_of(n["v"])
     string = F.try_variant_get(n["v"], "$", "string")
-    if marked:
+    if walk.marked:
         string = F.when(literals.is_marked(string), literals.literal(string)).otherwise(string)
-    value = F.coalesce(F.when(kind == "STRING", string), F.to_json(n["v"]))
+    value = F.coalesce(F.when(kind == "STRING", string), walk.text_of(n["v"]))
     if bounded:
         value = F.when(
             (kind != "STRING") & (F.length(value) > P.STRUCTURED_VALUE_CHARS), F.lit(OVERSIZED)
@@ -357,6 +370,7 @@ def shape_json(
     depth: int | None = None,
     force: bool = False,
     marked: bool = False,
+    by_name: bool = True,
 ) -> DataFrame:
     """Add ``out``: the JSON text of ``column`` redacted, masked and bounded.
 
@@ -365,12 +379,16 @@ def shape_json(
     gives null.  Everything is walked: the depth of the data is measured first, in one
     narrow pass.  Where ``depth`` is given (always for a stream, which can't be measured),
     containers below it are replaced whole by a placeholder, so nothing in them can leak.
-    ``marked`` texts come from :func:`literals.prepared`.
+    ``marked`` texts come from :func:`literals.prepared`.  Members are walked, counted and written
+    by name, or without ``by_name`` in document order: array indices first, the others as they
+    stand; then a repeated key has its last value where it first stood, and numbers are as they stood.
     """
     if depth is None:
         depth = measure_depth(df, column)
-    walk = _Walk(redact, limits or Limits(), field_of, captured or (lambda f: F.lit(True)), marked)
-    nodes = df.withColumn("__tree_root", F.try_parse_json(F.col(column))).withColumn(
+    marked = marked or not by_name
+    walk = _Walk(redact, limits or Limits(), field_of, captured or (lambda f: F.lit(True)), marked, by_name)
+    source = F.col(column) if by_name else literals.numbered(F.col(column))
+    nodes = df.withColumn("__tree_root", F.try_parse_json(source)).withColumn(
         _NODES, F.when(F.col("__tree_root").isNotNull(), walk.root(F.col("__tree_root")))
     ).drop("__tree_root")
     todo = F.exists(F.col(_NODES), lambda n: n["state"] == "todo")
@@ -401,13 +419,13 @@ def shape_json(
 
     def leaf(n: Column) -> Column:
         unopened = (
-            F.lit(OVERSIZED) if deeper is not None else placeholder("structured-value", F.to_json(n["v"]))
+            F.lit(OVERSIZED) if deeper is not None else placeholder("structured-value", walk.text_of(n["v"]))
         )
         text = (
             F.when(n["state"] == "text", F.try_variant_get(n["v"], "$", "string"))
             .when(n["state"] == "todo", unopened)
             .when(n["state"] == "deep", F.lit(TRUNCATED))
-            .otherwise(_masked_text(n, limits is not None, marked))
+            .otherwise(_masked_text(n, limits is not None, walk))
         )
         return F.struct(
             n["key"].alias("key"),
@@ -438,12 +456,12 @@ def shape_json(
 
     def fragment(n: Column) -> Column:
         name = F.when(
-            n["key"].isNotNull(), F.concat(_json_string(n["key"]), F.lit(":"))
+            n["key"].isNotNull(), F.concat(json_string(n["key"]), F.lit(":"))
         ).otherwise("")
         value = (
             F.when(n["state"].isin("{", "[", "}", "]"), n["state"])
             .when(n["state"] == "done", n["raw"])
-            .otherwise(_json_string(cut(n)))
+            .otherwise(json_string(cut(n)))
         )
         return F.struct(n["state"].alias("state"), F.concat(name, value).alias("json"))
 
@@ -460,7 +478,7 @@ def shape_json(
         ),
         "",
     )
-    return pieces.withColumn(out, joined).drop(_NODES)
+    return pieces.withColumn(out, joined if by_name else literals.unguarded(joined)).drop(_NODES)
 
 
 def _return_texts(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.redaction import placeholder, redact_columns, strip_path_roots
 from ..operators import gates, literals
+from ..operators.outline import redact_json
 from ..operators.tree import json_depth, shape_export
 from ..sources.files import publish, write_parts
 from ..sources.jsonl import list_layers, read_layers
@@ -50,6 +51,22 @@ def redact_lines(
     )
 
 
+def redact_records(
+    lines: DataFrame,
+    roots: Iterable[str] = (),
+    secrets: Sequence[tuple[str, str]] | DataFrame = (),
+    depth: int | None = None,
+    by_name: bool = True,
+) -> DataFrame:
+    """Add ``clean``: what :func:`redact_lines` adds, for lines of any depth and size; none is refused.
+
+    Members come out by name, or as they stand in the line.  Known secrets may be a table.  A
+    given ``depth`` hides what lies below so many levels.
+    """
+    redacted = redact_json(lines, "value", "clean", secrets=secrets, by_name=by_name, depth=depth)
+    return redacted.withColumn("clean", strip_path_roots(F.col("clean"), roots))
+
+
 def manifest(
     clean_lines: DataFrame, secrets: Sequence[tuple[str, str]] = (), files: DataFrame | None = None
 ) -> DataFrame:
@@ -135,7 +152,7 @@ def export_redacted(
     """
     lines = read_layers(spark, sessions_dir, raw_trace_dir, glob)
     roots = source_roots(sessions_dir, raw_trace_dir)
-    clean = materialize(redact_lines(lines, roots, secrets, depth), "export-lines")
+    clean = materialize(redact_records(lines, roots, secrets, depth), "export-lines")
     listed = materialize(list_layers(spark, sessions_dir, raw_trace_dir, glob), "export-files")
     folder = stage_path(spark, "export-parts")
     parts = materialize(write_parts(clean, folder, "clean"), "export-part-list")

@@ -130,6 +130,33 @@ def export_deep_records(spark, sf):
     return E.redact_lines(V.run(spark, sf, _DEEP)).select("doc_id", "clean")
 
 
+@check(_CLEAN + " SELECT doc_id AS row, layer, path, sha256(clean) AS digest FROM clean_lines")
+def export_records(spark, sf):
+    """The lines of ``export_lines`` as templates."""
+    rows = E.redact_records(_lines(spark, sf), ["/data/root", "", "/data/root"])
+    return rows.select("row", "layer", "path", F.sha2("clean", 256).alias("digest"))
+
+
+_ANY_DEPTH = """SELECT 'session' AS layer, source AS path, doc_id, concat(repeat('{"b":0,"a":[', CAST(doc_id % 500 AS INT)), '{"password":"', md5(text), '","n":1.50}', repeat(']}', CAST(doc_id % 500 AS INT))) AS value FROM documents"""
+
+
+@check(f"""SELECT doc_id, concat(repeat('{{"b":0,"a":[', CAST(doc_id % 500 AS INT)), '{{"password":"[REDACTED:password:', {_hash("md5(text)")}, ']","n":1.50}}', repeat(']}}', CAST(doc_id % 500 AS INT))) AS clean FROM documents""")
+def export_any_depth(spark, sf):
+    """Records nested 1 to 999 deep come out whole, as they stand."""
+    return E.redact_records(V.run(spark, sf, _ANY_DEPTH), by_name=False).select("doc_id", "clean")
+
+
+_ORDERED = """SELECT 'session' AS layer, 'p' AS path, conv_id, turn, concat('{"z":', CAST(turn AS VARCHAR(20)), '.0,"role":"', role, '","12":{"y":null,"x":1E5},"z":', CAST(conv_id AS VARCHAR(20)),
+  ',"2":[{"b":true,"a":[]}],"apiKey":{"b":1,"a":"', role, '"},"e":{}}') AS value FROM conversations"""
+
+
+@check(f"""SELECT conv_id, turn, concat('{{"2":[{{"b":true,"a":[]}}],"12":{{"y":null,"x":1E5}},"z":', CAST(conv_id AS VARCHAR), ',"role":"', role, '","apiKey":"[REDACTED:api-key:',
+  {_hash("concat('{\"b\":1,\"a\":\"', role, '\"}')")}, ']","e":{{}}}}') AS clean FROM conversations""")
+def export_document_order(spark, sf):
+    """Members in document order: indices first, a repeated key where it first stood, a hidden object hashed as it stands."""
+    return E.redact_records(V.run(spark, sf, _ORDERED), by_name=False).select("conv_id", "turn", "clean")
+
+
 _NUMBERS = """SELECT 'session' AS layer, 'p' AS path, o_orderkey, concat('{"z":"', o_orderpriority, '","n":', CAST(o_orderkey + 1 AS VARCHAR(20)), repeat('7', 40), ',"f":-', CAST(o_custkey AS VARCHAR(20)), '.50,"e":', CAST(o_custkey AS VARCHAR(20)), 'E+3,"password":', CAST(o_orderkey + 1 AS VARCHAR(20)), '0000000000000000,"i":7}') AS value FROM orders"""
 
 
