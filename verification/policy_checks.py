@@ -268,3 +268,22 @@ _budget_check("budget_object_keys", Limits(object_keys=2), obj(
     *_TAIL, _ARGS, ("messages", f"concat('[', {obj(('role', js('role'), _T), ('content', js('text'), _T), ('arguments', 'turn', _T))}, ']')", _T)))
 _budget_check("budget_nodes", Limits(nodes=4), obj(
     *_TAIL, _ARGS, ("messages", f"concat('[', {obj(('role', js('role'), _T), ('arguments', 'turn', _T))}, ']')", _T)))
+
+
+def _document_check(name: str, limits: Limits, message: str):
+    """A budget in document order, on a record whose names aren't sorted and one of which is repeated."""
+
+    def query(spark, sf):
+        early = F.concat(F.lit('{"prompt":"early","ratio":1.50,'), F.substring(_raw_record(), 2, 2**31 - 1))
+        rows = V.read(spark, sf, "conversations").withColumn("record", early)
+        shaped = T.shape_raw_record(rows, "record", "out", F.lit("tool_call"), "full-debug", redact=False, depth=4, limits=limits, by_name=False)
+        return shaped.select("conv_id", "turn", F.col("out").alias("record"))
+
+    query.__name__ = name
+    whole = f"""concat('{{"prompt":', {js('role')}, ',"ratio":1.50,"type":"tool_call","messages":[{{"role":', {js('role')}, {message}, '}}],"turnIndex":', turn, '}}')"""
+    check(f"SELECT conv_id, turn, {whole} AS record FROM conversations")(query)
+
+
+_CONTENT = f"""',"content":', {js('text')}"""
+_document_check("budget_object_keys_document", Limits(object_keys=3), _CONTENT + """, ',"arguments":', turn, ',"n":', turn""")
+_document_check("budget_nodes_document", Limits(nodes=4), _CONTENT)
