@@ -70,7 +70,7 @@ def test_document_order(spark):
 
 def test_policies_in_document_order(spark):
     rows = spark.createDataFrame([(json.dumps(RECORD),)], "record string")
-    for policy in ("full-debug", "metadata-only", "prompts-only", "no-such-policy"):
+    for policy in ("metadata-only", "prompts-only"):
         by_order = T.shape_raw_record(rows, "record", "out", F.lit("tool_call"), policy, redact=False, depth=6, by_name=False).first().out
         assert json.loads(by_order) == shaped(spark, policy)
         assert list(json.loads(by_order)) == [k for k in RECORD if k in json.loads(by_order)]
