@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -31,12 +31,12 @@ _INDEX = re.compile(r"0|[1-9][0-9]{0,9}", re.ASCII)
 _SURROGATE = re.compile("[\ud800-\udfff]")
 
 
-class _Hidden(dict):
-    """:func:`hides_value` of each name that is asked for."""
+class Names(dict):
+    """A name as JSON with its colon, and :func:`hides_value` of it, for each name that is asked for."""
 
-    def __missing__(self, name: str) -> bool:
-        self[name] = hides_value(name)
-        return self[name]
+    def __missing__(self, name: str) -> tuple[str, bool]:
+        self[name] = known = (_quoted(name) + ":", hides_value(name))
+        return known
 
 
 class Literal(str):
@@ -100,6 +100,8 @@ def _parse_deep(text: str) -> object:
 
 def members(value: dict, by_name: bool) -> Iterable[tuple[str, object]]:
     """Members by name (as UTF-16, like a VARIANT's), or in document order: array indices first, then as they stand."""
+    if len(value) < 2:
+        return value.items()
     if by_name:
         return sorted(value.items(), key=lambda item: item[0].encode("utf-16-be", "surrogatepass"))
     indices = [k for k in value if _INDEX.fullmatch(k) and int(k) < 2**32 - 1]
@@ -119,13 +121,14 @@ def _whole(text: str) -> str:
 
 
 def template(
-    value: object, by_name: bool, hides: Callable[[str], bool] | None = hides_value, depth: int | None = None
+    value: object, by_name: bool, redact: bool = True, depth: int | None = None, known: Names | None = None
 ) -> tuple[list[str], list[str | None], list[str]]:
-    """Pieces, names and texts of a value; without ``hides`` it is one piece, its compact JSON.
+    """Pieces, names and texts of a value; without ``redact`` it is one piece, its compact JSON.
 
     Where ``depth`` is given, a container inside of so many others is a hole as a whole.
     """
     parts, names, texts, piece = [], [], [], []
+    known = Names() if known is None else known
 
     def hole(name: str | None, text: str) -> None:
         parts.append(_whole("".join(piece)))
@@ -133,45 +136,48 @@ def template(
         names.append(name)
         texts.append(_whole(text))
 
-    open_: list[list] = [[iter([(None, value)]), "", False]]
-    while open_:
-        frame = open_[-1]
-        item = next(frame[0], None)
-        if item is None:
-            piece.append(open_.pop()[1])
-            continue
-        if frame[2]:
-            piece.append(",")
-        frame[2] = True
-        key, v = item
-        kind = type(v)
-        if key is not None:
-            piece.append(_quoted(key) + ":")
-            if hides and v is not None and hides(key):
-                text = v if isinstance(v, str) else _CONSTANTS[v] if kind is bool else template(v, by_name, None)[0][0]
-                hole(_whole(key), text)
-                continue
-        if kind is str:
-            hole(None, v) if hides else piece.append(_quoted(v))
-        elif kind in (dict, list) and depth is not None and len(open_) > depth:
-            hole(CUT, template(v, by_name, None)[0][0])
-        elif kind is dict:
-            piece.append("{")
-            open_.append([iter(members(v, by_name)), "}", False])
-        elif kind is list:
-            piece.append("[")
-            open_.append([((None, x) for x in v), "]", False])
+    def whole(v: object) -> str:
+        return template(v, by_name, redact=False, known=known)[0][0]
+
+    around: list[tuple] = []
+    items, closer, comma = iter([(None, value)]), "", ""
+    while True:
+        for key, v in items:
+            piece.append(comma)
+            comma, kind = ",", type(v)
+            if key is not None:
+                name, hidden = known[key]
+                piece.append(name)
+                if hidden and redact and v is not None:
+                    hole(_whole(key), v if isinstance(v, str) else _CONSTANTS[v] if kind is bool else whole(v))
+                    continue
+            if kind is str:
+                hole(None, v) if redact else piece.append(_quoted(v))
+            elif kind is not dict and kind is not list:
+                piece.append(v if kind is Literal else _CONSTANTS[v])
+            elif depth is not None and len(around) >= depth:
+                hole(CUT, whole(v))
+            else:
+                around.append((items, closer))
+                piece.append("{" if kind is dict else "[")
+                items, closer = (iter(members(v, by_name)), "}") if kind is dict else (((None, x) for x in v), "]")
+                comma = ""
+                break
         else:
-            piece.append(v if kind is Literal else _CONSTANTS[v])
+            piece.append(closer)
+            if not around:
+                break
+            items, closer = around.pop()
+            comma = ","
     parts.append(_whole("".join(piece)))
     return parts, names, texts
 
 
-def _line(text: str | None, by_name: bool, hides: Callable[[str], bool], depth: int | None) -> dict | None:
+def _line(text: str | None, by_name: bool, depth: int | None, known: Names) -> dict | None:
     if text is None:
         return None
     try:
-        parts, names, texts = template(parse(text.rstrip(" ")), by_name, hides, depth)
+        parts, names, texts = template(parse(text.rstrip(" ")), by_name, depth=depth, known=known)
     except ValueError:
         is_blank = not text.strip(" ")
         parts, names, texts = ([text], [], []) if is_blank else (["", ""], [None], [text])
@@ -183,8 +189,8 @@ def templates(text: Column, by_name: bool = True, depth: int | None = None) -> C
     """The template of each text (SCHEMA); null for null."""
 
     def batch(values: pa.Array) -> pa.Array:
-        hides = _Hidden().__getitem__
-        return pa.array([_line(v, by_name, hides, depth) for v in values.to_pylist()], _TYPE)
+        known = Names()
+        return pa.array([_line(v, by_name, depth, known) for v in values.to_pylist()], _TYPE)
 
     return F.arrow_udf(batch, SCHEMA)(text)
 
