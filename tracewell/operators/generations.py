@@ -14,8 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .ordered import concat_in_order
-from .running import Running, running
-from .trace import PROMPT, TURN, failure_kind, in_open_turn, inside
+from .running import Running, running, shuffled
+from .trace import EVENT, PROMPT, TURN, failure_kind, in_open_turn, inside
 
 GENERATION = [*TURN, "generation"]
 _KINDS = {
@@ -26,6 +26,11 @@ _KINDS = {
     "message_end": "end",
 }
 TOKEN_DELTAS = ("text_delta", "thinking_delta")
+#: What :func:`generation_spans` reads of routed events; texts stay with the events.
+ROUTED = [
+    *TURN, "seq", "event_ms", "step", "delta_kind", "status", "model", "is_error", "stop_reason",
+    "error_message", "generation", "generation_key", "effect",
+]
 NO_KEY = ""
 
 
@@ -35,7 +40,7 @@ def generation_events(assigned: DataFrame, turn_rows: DataFrame) -> DataFrame:
     about = kind.isin(*_KINDS) & (
         ~kind.startswith("message") | (F.col("role") == "assistant")
     )
-    events = inside(assigned).where(about)
+    events = inside(assigned).where(about).withColumn("fingerprint", _fingerprint())
     placed = in_open_turn(events, turn_rows)
     step = F.when((kind == "message_update") & (F.col("delta_kind") == "error"), F.lit("error"))
     for name, short in _KINDS.items():
@@ -45,16 +50,21 @@ def generation_events(assigned: DataFrame, turn_rows: DataFrame) -> DataFrame:
     )
 
 
+def _fingerprint() -> Column:
+    """Tells payloads apart, null for an empty one."""
+    return F.when(F.col("payload") != "", F.sha2("payload", 256))
+
+
 def _follow_request_key(placed: DataFrame, turn_rows: DataFrame) -> DataFrame:
     """A request key leads to the turn it was first seen in, as long as that is open."""
     keyed = placed.where(F.col("request_key").isNotNull() & (F.col("request_key") != ""))
     homes = (
         keyed.groupBy(*PROMPT, "request_key")
         .agg(F.min_by("turn_index", "seq").alias("turn_index"))
-        .join(turn_rows.select(*TURN, F.col("end_seq").alias("__home_end")), TURN)
+        .join(shuffled(turn_rows.select(*TURN, F.col("end_seq").alias("__home_end"))), TURN)
         .withColumnRenamed("turn_index", "__home")
     )
-    joined = placed.join(homes, [*PROMPT, "request_key"], "left")
+    joined = placed.join(shuffled(homes), [*PROMPT, "request_key"], "left")
     open_home = F.col("__home").isNotNull() & (
         F.col("__home_end").isNull() | (F.col("seq") < F.col("__home_end"))
     )
@@ -169,7 +179,7 @@ def route(events: DataFrame) -> DataFrame:
     join, end, error (ends it), or ignored."""
     is_delta = F.col("step") == "delta"
     placed = running(
-        events,
+        events if "fingerprint" in events.columns else events.withColumn("fingerprint", _fingerprint()),
         TURN,
         ["seq"],
         {
@@ -181,7 +191,7 @@ def route(events: DataFrame) -> DataFrame:
         F.min("seq").alias("first_seq"),
         F.min("position").alias("from_position"),
         F.count("*").alias("events"),
-        F.min_by("payload", "seq").alias("fingerprint"),
+        F.min_by("fingerprint", "seq").alias("fingerprint"),
     )
     # Turns stream through a task one after the other, whatever their size.
     routes = (
@@ -189,7 +199,7 @@ def route(events: DataFrame) -> DataFrame:
         .sortWithinPartitions(*TURN, "first_seq")
         .mapInPandas(_route_sorted, _ROUTES)
     )
-    joined = placed.join(routes, [*TURN, "run", "step", "request_key"])
+    joined = placed.join(shuffled(routes), [*TURN, "run", "step", "request_key"])
     in_range = ~is_delta | F.col("position").between(F.col("from_position"), F.col("to_position"))
     return joined.where(in_range).select(
         *events.columns, "generation", "generation_key", "effect"
@@ -199,22 +209,25 @@ def route(events: DataFrame) -> DataFrame:
 def collapse_retries(requests: DataFrame) -> DataFrame:
     """Requests without keys that repeat the latest open one are the same generation:
     add ``generation`` as a running count of the ones that differ."""
+    # a digest travels, not the payload; it is null for a null only, as the payload is
     marked = running(
-        requests,
+        requests.withColumn("__print", F.sha2("payload", 256)),
         TURN,
         ["seq"],
-        {"__before": Running("last", F.col("payload"), exclusive=True)},
-    ).withColumn("__new", (~F.col("payload").eqNullSafe(F.col("__before"))).cast("int"))
+        {"__before": Running("last", F.col("__print"), exclusive=True)},
+    ).withColumn("__new", (~F.col("__print").eqNullSafe(F.col("__before"))).cast("int"))
     counted = running(marked, TURN, ["seq"], {"generation": Running("sum", F.col("__new"))})
     return counted.select(*requests.columns, (F.col("generation") - 1).cast("int").alias("generation"))
 
 
-def stream_texts(routed: DataFrame) -> DataFrame:
+def stream_texts(routed: DataFrame, assigned: DataFrame) -> DataFrame:
     """Text and thinking of each generation, its deltas since the message began joined in order."""
     joins = routed.where(F.col("effect") == "join")
     began = joins.where(F.col("step") == "start").groupBy(*GENERATION).agg(F.max("seq").alias("__began"))
-    deltas = joins.where(F.col("step") == "delta").join(began, GENERATION, "left")
-    deltas = deltas.where(F.col("__began").isNull() | (F.col("seq") > F.col("__began"))).drop("__began")
+    deltas = joins.where(F.col("step") == "delta").join(shuffled(began), GENERATION, "left")
+    deltas = deltas.where(F.col("__began").isNull() | (F.col("seq") > F.col("__began"))).select(*GENERATION, "seq", "delta_kind")
+    texts = inside(assigned).where(F.col("kind") == "message_update").select(*EVENT, "delta")
+    deltas = texts.join(shuffled(deltas), EVENT)
 
     def of(kind: str) -> Column:
         return F.when(F.col("delta_kind") == kind, F.col("delta"))
@@ -246,8 +259,13 @@ def time_to_first_token(first_token_ms: Column, start_ms: Column) -> Column:
     return F.greatest(F.lit(0).cast("bigint"), first_token_ms - start_ms)
 
 
-def generations(routed: DataFrame, turn_rows: DataFrame) -> DataFrame:
+def generations(routed: DataFrame, turn_rows: DataFrame, assigned: DataFrame) -> DataFrame:
     """One row per generation: request, provider answers, first token, output, end."""
+    return generation_texts(generation_spans(routed, turn_rows), routed, assigned)
+
+
+def generation_spans(routed: DataFrame, turn_rows: DataFrame) -> DataFrame:
+    """The generations without texts and usage; ``texts`` holds the events that have them."""
     step, effect = F.col("step"), F.col("effect")
     live = routed.where(effect != "ignored")
     is_end = effect == "end"
@@ -266,7 +284,7 @@ def generations(routed: DataFrame, turn_rows: DataFrame) -> DataFrame:
         F.min_by("event_ms", "seq").alias("start_ms"),
         F.max(step != "request").alias("started"),
         last("model", (step == "request") & F.col("model").isNotNull()).alias("request_model"),
-        last("payload", step == "request").alias("payload"),
+        F.max(F.when(step == "request", F.col("seq"))).alias("__payload"),
         last("status", has_status).alias("provider_status"),
         F.array_sort(
             F.collect_list(F.when(has_status, F.struct("seq", "status")))
@@ -278,11 +296,11 @@ def generations(routed: DataFrame, turn_rows: DataFrame) -> DataFrame:
         F.max(effect == "error").alias("stream_error"),
         first("error_message", effect == "error").alias("stream_message"),
         first(
-            F.struct("text", "usage", "model", "stop_reason", "error_message", "is_error"), is_end
+            F.struct("seq", "model", "stop_reason", "error_message", "is_error"), is_end
         ).alias("m"),
     )
-    joined = grouped.join(stream_texts(routed), GENERATION, "left").join(
-        turn_rows.select(*TURN, F.col("end_seq").alias("__turn_end"), F.col("end_ms").alias("__turn_ms")),
+    joined = grouped.join(
+        shuffled(turn_rows.select(*TURN, F.col("end_seq").alias("__turn_end"), F.col("end_ms").alias("__turn_ms"))),
         TURN,
         "left",
     )
@@ -311,18 +329,13 @@ def generations(routed: DataFrame, turn_rows: DataFrame) -> DataFrame:
         (stop_ms - F.col("start_ms")).alias("duration_ms"),
         "started",
         F.coalesce(F.nullif(m["model"], F.lit("")), F.col("request_model")).alias("model"),
-        "payload",
         "provider_status",
         F.transform(F.col("__statuses"), lambda s: s["status"]).alias("provider_statuses"),
         F.coalesce(F.col("provider_error"), F.lit(False)).alias("provider_error"),
         time_to_first_token(F.col("__token_ms"), F.col("start_ms")).alias("time_to_first_token_ms"),
-        F.when(
-            ended & ~F.col("stream_error"),
-            final_output(m["text"], F.col("stream_thinking"), F.col("stream_text")),
-        ).alias("output"),
-        "stream_text",
-        "stream_thinking",
-        m["usage"].alias("usage"),
+        F.struct(
+            F.col("__payload").alias("payload"), m["seq"].alias("message"), (ended & ~F.col("stream_error")).alias("said")
+        ).alias("texts"),
         (~ended & cut).alias("abandoned"),
         (~ended & ~cut).alias("open"),
         (F.col("stream_error") | (~ended & cut) | F.coalesce(flagged | failure.isNotNull(), F.lit(False))).alias("is_error"),
@@ -330,11 +343,44 @@ def generations(routed: DataFrame, turn_rows: DataFrame) -> DataFrame:
     )
 
 
+def generation_texts(spans: DataFrame, routed: DataFrame, assigned: DataFrame) -> DataFrame:
+    """Replace ``texts`` of :func:`generation_spans` by payload, usage, streamed texts and output."""
+    wanted = spans.select(
+        *GENERATION, "texts", F.explode(F.array("texts.payload", "texts.message")).alias("seq")
+    ).where(F.col("seq").isNotNull())
+    events = (
+        inside(assigned)
+        .where(F.col("kind").isin("before_provider_request", "message_end"))
+        .select(*EVENT, "payload", "text", "usage")
+    )
+
+    def of(column: str, seq: str) -> Column:
+        return F.max(F.when(F.col("seq") == F.col(f"texts.{seq}"), F.col(column))).alias(column)
+
+    found = (
+        events.join(shuffled(wanted), EVENT)
+        .groupBy(*GENERATION)
+        .agg(of("payload", "payload"), of("text", "message"), of("usage", "message"))
+    )
+    joined = spans.join(shuffled(found), GENERATION, "left").join(
+        shuffled(stream_texts(routed, assigned)), GENERATION, "left"
+    )
+    output = final_output(F.col("text"), F.col("stream_thinking"), F.col("stream_text"))
+    return joined.select(
+        *[c for c in spans.columns if c != "texts"],
+        "payload",
+        F.when(F.col("texts.said"), output).alias("output"),
+        "stream_text",
+        "stream_thinking",
+        "usage",
+    )
+
+
 def unfinished_turns(generation_rows: DataFrame, turn_rows: DataFrame) -> DataFrame:
     """Turns that ended by themselves before one of their generations did."""
     ended = turn_rows.where(~F.col("abandoned") & ~F.col("open")).select(*TURN)
     cut = generation_rows.where("abandoned").select(*TURN).distinct()
-    return cut.join(ended, TURN, "left_semi")
+    return cut.join(shuffled(ended), TURN, "left_semi")
 
 
 def generation_scores(generation_rows: DataFrame) -> DataFrame:

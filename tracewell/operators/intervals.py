@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .running import shuffled
+
 FANOUT = 16
 LEVELS = 9
 OPEN_END = FANOUT**LEVELS
@@ -96,10 +98,10 @@ def latest_covering(
         .alias("salt"),
     )
     hits = (
-        probes.join(tree, [*keys, "level", "block", "salt"])
+        probes.join(shuffled(tree), [*keys, "level", "block", "salt"])
         .groupBy(*keys, at)
         .agg(F.max_by("hit", "hit.start").alias("__hit"))
     )
-    return points.join(hits, [*keys, at], "left").select(
+    return points.join(shuffled(hits), [*keys, at], "left").select(
         *points.columns, *[F.col(f"__hit.{p}").alias(p) for p in payload]
     )

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .running import shuffled
+
 ROOT_NAME = "agent.prompt"
 TURN_NAME = "agent.turn"
 GENERATION_NAME = "llm-response"
@@ -95,7 +97,7 @@ def resolve_parents(
 ) -> tuple[DataFrame, DataFrame]:
     """The given parent if it exists, else the trace's root; and the observations of
     traces nobody registered."""
-    known = trace_rows.select(F.col("id").alias("trace_id"))
+    known = shuffled(trace_rows.select(F.col("id").alias("trace_id")))
     orphans = observation_rows.join(known, "trace_id", "left_anti")
     parents = observation_rows.select(
         F.col("id").alias("parent_id"), F.lit(True).alias("__found")
@@ -103,7 +105,7 @@ def resolve_parents(
     is_root = F.col("name") == ROOT_NAME
     resolved = (
         observation_rows.join(known, "trace_id", "left_semi")
-        .join(parents, "parent_id", "left")
+        .join(shuffled(parents), "parent_id", "left")
         .withColumn(
             "parent_id",
             F.when(F.col("__found"), F.col("parent_id")).when(~is_root, _root(F.col("trace_id"))),
@@ -121,4 +123,4 @@ def propagate_identity(observation_rows: DataFrame, trace_rows: DataFrame, ident
     """
     have = [c for c in identity if c in trace_rows.columns]
     side = trace_rows.select(F.col("id").alias("trace_id"), *have)
-    return observation_rows.join(side, "trace_id")
+    return observation_rows.join(shuffled(side), "trace_id")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .running import ROWS_PER_CHUNK
+from .running import ROWS_PER_CHUNK, shuffled
 
 
 def concat_in_order(
@@ -81,4 +81,4 @@ def fold_updates(
     )
     if not maps:
         return latest
-    return latest.join(merge_maps(updates, keys, order, maps), list(keys), "left")
+    return latest.join(shuffled(merge_maps(updates, keys, order, maps)), list(keys), "left")

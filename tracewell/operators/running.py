@@ -28,6 +28,14 @@ class Running:
     exclusive: bool = False
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the data, so never one to broadcast.
+
+    Stage tables are some ten times smaller as files than in memory, and Spark goes by the files.
+    """
+    return df.hint("merge")
+
+
 def chunk_of(order: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> Column:
     """Chunk of a dense per-key sequence number."""
     return F.floor(F.col(order) / F.lit(rows_per_chunk)).cast("bigint")
@@ -95,7 +103,7 @@ def running(
             return F.greatest(carried, here)
         return F.coalesce(here, carried)
 
-    joined = rows.join(carry, [*keys, _CHUNK], "left")
+    joined = rows.join(shuffled(carry), [*keys, _CHUNK], "left")
     return joined.select(
         *[F.col(c) for c in df.columns if c not in outputs],
         *[combine(name, spec).alias(name) for name, spec in outputs.items()],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,36 +10,76 @@ from ..operators import generations as G, trace as T
 from .workspace import materialize
 
 
-@dataclass(frozen=True)
 class TraceTables:
-    assigned: DataFrame
-    prompts: DataFrame
-    spans: DataFrame
-    turns: DataFrame
-    message_ends: DataFrame
-    tools: DataFrame
-    generations: DataFrame
-    traces: DataFrame
+    """The trace tables of an event table, each built when it is first read.
 
+    What is kept as a stage is narrow: keys, times, verdicts, and of texts the numbers of the events
+    that hold them.  The texts are joined to a table where they are read, so a table that nobody
+    reads, or a text that nobody selects, is neither built, shuffled nor written.
+    """
 
-def build_traces(events: DataFrame) -> TraceTables:
-    """All trace tables of an event table.
+    def __init__(self, events: DataFrame):
+        self.events = event_defaults(events)
 
-    Each stage reads the few stage tables it needs; every event is shuffled for the
-    prompt assignment and once more for the aggregation it takes part in.
-    """
-    events = event_defaults(events)
-    marks = materialize(T.mark_boundaries(events), "marks")
-    assigned = materialize(T.assign_prompts(events, marks), "assigned")
-    prompts = materialize(T.prompts(assigned), "prompts")
-    spans = materialize(T.turns(assigned, prompts), "turns")
-    ends = materialize(T.message_ends(assigned, spans), "message-ends")
-    tools = materialize(T.tools(assigned, prompts, spans), "tools")
-    routed = materialize(G.route(G.generation_events(assigned, spans)), "routed")
-    generations = materialize(G.generations(routed, spans), "generations")
-    turns = T.turn_records(spans, ends)
-    traces = T.rollup(assigned, prompts, spans, tools, ends, G.unfinished_turns(generations, spans))
-    return TraceTables(assigned, prompts, spans, turns, ends, tools, generations, traces)
+    @cached_property
+    def _placed(self) -> DataFrame:
+        marks = materialize(T.mark_boundaries(self.events), "marks")
+        return materialize(T.place_prompts(self.events, marks), "placed")
+
+    @cached_property
+    def assigned(self) -> DataFrame:
+        return T.with_prompts(self.events, self._placed)
+
+    @cached_property
+    def prompts(self) -> DataFrame:
+        return materialize(T.prompts(self.assigned), "prompts")
+
+    @cached_property
+    def spans(self) -> DataFrame:
+        return materialize(T.turn_spans(self.assigned, self.prompts), "turns")
+
+    @cached_property
+    def _first_ends(self) -> DataFrame:
+        return materialize(T.first_message_ends(self.assigned, self.spans), "message-ends")
+
+    @cached_property
+    def message_ends(self) -> DataFrame:
+        return T.message_texts(self._first_ends, self.assigned)
+
+    @cached_property
+    def turns(self) -> DataFrame:
+        return T.turn_records(T.turn_outputs(self.spans, self.assigned), self.message_ends)
+
+    @cached_property
+    def _calls(self) -> DataFrame:
+        return materialize(T.tool_calls(self.assigned, self.prompts, self.spans), "tools")
+
+    @cached_property
+    def tools(self) -> DataFrame:
+        return T.tool_texts(self._calls, self.assigned)
+
+    @cached_property
+    def _routed(self) -> DataFrame:
+        routed = G.route(G.generation_events(self.assigned, self.spans))
+        return materialize(routed.select(*G.ROUTED), "routed")
+
+    @cached_property
+    def _generations(self) -> DataFrame:
+        return materialize(G.generation_spans(self._routed, self.spans), "generations")
+
+    @cached_property
+    def generations(self) -> DataFrame:
+        return G.generation_texts(self._generations, self._routed, self.assigned)
+
+    @cached_property
+    def traces(self) -> DataFrame:
+        unfinished = G.unfinished_turns(self._generations, self.spans)
+        return T.rollup(self.assigned, self.prompts, self.spans, self._calls, self.message_ends, unfinished)
+
+
+def build_traces(events: DataFrame) -> TraceTables:
+    """All trace tables of an event table; (session_key, seq) tells its events apart."""
+    return TraceTables(events)
 
 
 def event_defaults(events: DataFrame) -> DataFrame:
