@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .ordered import concat_in_order
 from .running import Running, running, shuffled
-from .trace import EVENT, PROMPT, TURN, failure_kind, in_open_turn, inside
+from .trace import EVENT, PROMPT, TURN, failure_kind, fingerprint, in_open_turn, inside
 
 GENERATION = [*TURN, "generation"]
 _KINDS = {
@@ -34,14 +34,14 @@ ROUTED = [
 NO_KEY = ""
 
 
-def generation_events(assigned: DataFrame, turn_rows: DataFrame) -> DataFrame:
+def generation_events(assigned: DataFrame, turn_rows: DataFrame, last: int | None = None) -> DataFrame:
     """Events about generations with the turn they belong to and their role in it."""
     kind = F.col("kind")
     about = kind.isin(*_KINDS) & (
         ~kind.startswith("message") | (F.col("role") == "assistant")
     )
-    events = inside(assigned).where(about).withColumn("fingerprint", _fingerprint())
-    placed = in_open_turn(events, turn_rows)
+    events = _with_fingerprint(inside(assigned).where(about))
+    placed = in_open_turn(events, turn_rows, last)
     step = F.when((kind == "message_update") & (F.col("delta_kind") == "error"), F.lit("error"))
     for name, short in _KINDS.items():
         step = step.when(kind == name, F.lit(short))
@@ -50,9 +50,9 @@ def generation_events(assigned: DataFrame, turn_rows: DataFrame) -> DataFrame:
     )
 
 
-def _fingerprint() -> Column:
-    """Tells payloads apart, null for an empty one."""
-    return F.when(F.col("payload") != "", F.sha2("payload", 256))
+def _with_fingerprint(events: DataFrame) -> DataFrame:
+    """Payloads stay behind: what tells them apart is a digest."""
+    return events if "fingerprint" in events.columns else events.withColumn("fingerprint", fingerprint(F.col("payload")))
 
 
 def _follow_request_key(placed: DataFrame, turn_rows: DataFrame) -> DataFrame:
@@ -179,7 +179,7 @@ def route(events: DataFrame) -> DataFrame:
     join, end, error (ends it), or ignored."""
     is_delta = F.col("step") == "delta"
     placed = running(
-        events if "fingerprint" in events.columns else events.withColumn("fingerprint", _fingerprint()),
+        _with_fingerprint(events),
         TURN,
         ["seq"],
         {
@@ -209,24 +209,23 @@ def route(events: DataFrame) -> DataFrame:
 def collapse_retries(requests: DataFrame) -> DataFrame:
     """Requests without keys that repeat the latest open one are the same generation:
     add ``generation`` as a running count of the ones that differ."""
-    # a digest travels, not the payload; it is null for a null only, as the payload is
     marked = running(
-        requests.withColumn("__print", F.sha2("payload", 256)),
+        _with_fingerprint(requests),
         TURN,
         ["seq"],
-        {"__before": Running("last", F.col("__print"), exclusive=True)},
-    ).withColumn("__new", (~F.col("__print").eqNullSafe(F.col("__before"))).cast("int"))
+        {"__before": Running("last", F.col("fingerprint"), exclusive=True)},
+    ).withColumn("__new", (~F.col("fingerprint").eqNullSafe(F.col("__before"))).cast("int"))
     counted = running(marked, TURN, ["seq"], {"generation": Running("sum", F.col("__new"))})
     return counted.select(*requests.columns, (F.col("generation") - 1).cast("int").alias("generation"))
 
 
-def stream_texts(routed: DataFrame, assigned: DataFrame) -> DataFrame:
+def stream_texts(routed: DataFrame, events: DataFrame) -> DataFrame:
     """Text and thinking of each generation, its deltas since the message began joined in order."""
     joins = routed.where(F.col("effect") == "join")
     began = joins.where(F.col("step") == "start").groupBy(*GENERATION).agg(F.max("seq").alias("__began"))
     deltas = joins.where(F.col("step") == "delta").join(shuffled(began), GENERATION, "left")
     deltas = deltas.where(F.col("__began").isNull() | (F.col("seq") > F.col("__began"))).select(*GENERATION, "seq", "delta_kind")
-    texts = inside(assigned).where(F.col("kind") == "message_update").select(*EVENT, "delta")
+    texts = events.where(F.col("kind") == "message_update").select(*EVENT, "delta")
     deltas = texts.join(shuffled(deltas), EVENT)
 
     def of(kind: str) -> Column:
@@ -259,9 +258,9 @@ def time_to_first_token(first_token_ms: Column, start_ms: Column) -> Column:
     return F.greatest(F.lit(0).cast("bigint"), first_token_ms - start_ms)
 
 
-def generations(routed: DataFrame, turn_rows: DataFrame, assigned: DataFrame) -> DataFrame:
+def generations(routed: DataFrame, turn_rows: DataFrame, events: DataFrame) -> DataFrame:
     """One row per generation: request, provider answers, first token, output, end."""
-    return generation_texts(generation_spans(routed, turn_rows), routed, assigned)
+    return generation_texts(generation_spans(routed, turn_rows), routed, events)
 
 
 def generation_spans(routed: DataFrame, turn_rows: DataFrame) -> DataFrame:
@@ -343,14 +342,13 @@ def generation_spans(routed: DataFrame, turn_rows: DataFrame) -> DataFrame:
     )
 
 
-def generation_texts(spans: DataFrame, routed: DataFrame, assigned: DataFrame) -> DataFrame:
+def generation_texts(spans: DataFrame, routed: DataFrame, all_events: DataFrame) -> DataFrame:
     """Replace ``texts`` of :func:`generation_spans` by payload, usage, streamed texts and output."""
     wanted = spans.select(
         *GENERATION, "texts", F.explode(F.array("texts.payload", "texts.message")).alias("seq")
     ).where(F.col("seq").isNotNull())
     events = (
-        inside(assigned)
-        .where(F.col("kind").isin("before_provider_request", "message_end"))
+        all_events.where(F.col("kind").isin("before_provider_request", "message_end"))
         .select(*EVENT, "payload", "text", "usage")
     )
 
@@ -363,7 +361,7 @@ def generation_texts(spans: DataFrame, routed: DataFrame, assigned: DataFrame) -
         .agg(of("payload", "payload"), of("text", "message"), of("usage", "message"))
     )
     joined = spans.join(shuffled(found), GENERATION, "left").join(
-        shuffled(stream_texts(routed, assigned)), GENERATION, "left"
+        shuffled(stream_texts(routed, all_events)), GENERATION, "left"
     )
     output = final_output(F.col("text"), F.col("stream_thinking"), F.col("stream_text"))
     return joined.select(

@@ -23,10 +23,10 @@ SALTED_FROM = 3
 SALTS = 16
 
 
-def _blocks(start: Column, stop: Column) -> Column:
-    """Array of (level, block): the coarsest aligned blocks inside [start, stop)."""
+def _blocks(start: Column, stop: Column, count: int) -> Column:
+    """Array of (level, block): the coarsest aligned blocks of ``count`` levels inside [start, stop)."""
     low_end = start.cast("bigint")
-    high_end = F.least(stop.cast("bigint"), F.lit(OPEN_END))
+    high_end = F.least(stop.cast("bigint"), F.lit(FANOUT**count))
     none = F.array().cast("array<bigint>")
 
     def at_level(level: Column) -> Column:
@@ -39,7 +39,7 @@ def _blocks(start: Column, stop: Column) -> Column:
         )
 
         def pieces(b: Column) -> Column:
-            nested = (b["up_low"] < b["up_high"]) & (level < LEVELS - 1)
+            nested = (b["up_low"] < b["up_high"]) & (level < count - 1)
             left_end = F.when(nested, b["up_low"]).otherwise(b["high"])
             left = F.when(b["low"] < left_end, F.sequence(b["low"], left_end - 1)).otherwise(none)
             right = F.when(
@@ -52,7 +52,7 @@ def _blocks(start: Column, stop: Column) -> Column:
 
         return F.transform(F.array(bounds), pieces)[0]
 
-    levels = F.array(*[F.lit(level) for level in range(LEVELS)])
+    levels = F.array(*[F.lit(level) for level in range(count)])
     return F.flatten(F.transform(levels, at_level))
 
 
@@ -64,10 +64,14 @@ def latest_covering(
     start: str,
     stop: str,
     payload: Sequence[str],
+    last: int | None = None,
 ) -> DataFrame:
     """``points`` plus the ``payload`` of the interval [start, stop) over ``at`` with the
     greatest start, null if none; a null stop is open.  (keys, at) must be unique, and below
-    OPEN_END; a point beyond raises."""
+    OPEN_END; a point beyond raises.  Where no point is beyond ``last``, the tree ends there:
+    fewer levels to look up, and fewer blocks of open intervals."""
+    count = next(n for n in range(1, LEVELS + 1) if n == LEVELS or (last is not None and last < FANOUT**n))
+    end = FANOUT**count
     salts = F.when(
         F.col("level") >= SALTED_FROM, F.sequence(F.lit(0), F.lit(SALTS - 1))
     ).otherwise(F.array(F.lit(0)))
@@ -76,7 +80,7 @@ def latest_covering(
             *keys,
             F.struct(F.col(start).cast("bigint").alias("start"), *payload).alias("hit"),
             F.explode(
-                _blocks(F.col(start), F.coalesce(F.col(stop), F.lit(OPEN_END)))
+                _blocks(F.col(start), F.coalesce(F.col(stop), F.lit(end)), count)
             ).alias("b"),
         )
         .select(*keys, "hit", "b.level", "b.block")
@@ -84,10 +88,10 @@ def latest_covering(
         .agg(F.max_by("hit", "hit.start").alias("hit"))
         .withColumn("salt", F.explode(salts))
     )
-    beyond = F.raise_error(F.concat(F.lit(f"{at} is beyond {OPEN_END}: "), F.col(at).cast("string")))
-    point_key = points.select(*keys, F.when(F.col(at) >= OPEN_END, beyond.cast("bigint")).otherwise(F.col(at)).alias(at))
+    beyond = F.raise_error(F.concat(F.lit(f"{at} is beyond {end}: "), F.col(at).cast("string")))
+    point_key = points.select(*keys, F.when(F.col(at) >= end, beyond.cast("bigint")).otherwise(F.col(at)).alias(at))
     probes = point_key.withColumn(
-        "level", F.explode(F.array(*[F.lit(level) for level in range(LEVELS)]))
+        "level", F.explode(F.array(*[F.lit(level) for level in range(count)]))
     ).select(
         *keys,
         at,

@@ -22,45 +22,61 @@ class TraceTables:
         self.events = event_defaults(events)
 
     @cached_property
-    def _placed(self) -> DataFrame:
-        marks = materialize(T.mark_boundaries(self.events), "marks")
-        return materialize(T.place_prompts(self.events, marks), "placed")
+    def placed(self) -> DataFrame:
+        """``assigned`` with the short columns only."""
+        slim = materialize(T.slim_events(self.events), "events")
+        marks = materialize(T.mark_boundaries(slim), "marks")
+        return materialize(T.assign_prompts(slim, marks), "placed")
+
+    @cached_property
+    def last(self) -> int:
+        """The greatest ``seq``, to which the tree of open turns goes."""
+        return self.placed.agg(F.max("seq")).first()[0] or 0
 
     @cached_property
     def assigned(self) -> DataFrame:
-        return T.with_prompts(self.events, self._placed)
+        return T.with_prompts(self.events, self.placed)
+
+    @cached_property
+    def _prompts(self) -> DataFrame:
+        return materialize(T.prompt_spans(self.placed), "prompts")
 
     @cached_property
     def prompts(self) -> DataFrame:
-        return materialize(T.prompts(self.assigned), "prompts")
+        return T.prompt_texts(self._prompts, self.events)
 
     @cached_property
     def spans(self) -> DataFrame:
-        return materialize(T.turn_spans(self.assigned, self.prompts), "turns")
+        return materialize(T.turn_spans(self.placed, self._prompts), "turns")
 
     @cached_property
     def _first_ends(self) -> DataFrame:
-        return materialize(T.first_message_ends(self.assigned, self.spans), "message-ends")
+        return materialize(T.first_message_ends(self.placed, self.spans, self.last), "message-ends")
 
     @cached_property
     def message_ends(self) -> DataFrame:
-        return T.message_texts(self._first_ends, self.assigned)
+        return T.message_texts(self._first_ends, self.events)
+
+    @cached_property
+    def turn_verdicts(self) -> DataFrame:
+        """``turns`` without output and usage."""
+        return T.turn_records(self.spans, self._first_ends)
 
     @cached_property
     def turns(self) -> DataFrame:
-        return T.turn_records(T.turn_outputs(self.spans, self.assigned), self.message_ends)
+        return T.turn_outputs(self.turn_verdicts, self.events)
 
     @cached_property
     def _calls(self) -> DataFrame:
-        return materialize(T.tool_calls(self.assigned, self.prompts, self.spans), "tools")
+        return materialize(T.tool_calls(self.placed, self._prompts, self.spans, last=self.last), "tools")
 
     @cached_property
     def tools(self) -> DataFrame:
-        return T.tool_texts(self._calls, self.assigned)
+        return T.tool_texts(self._calls, self.events)
 
     @cached_property
     def _routed(self) -> DataFrame:
-        routed = G.route(G.generation_events(self.assigned, self.spans))
+        routed = G.route(G.generation_events(self.placed, self.spans, self.last))
         return materialize(routed.select(*G.ROUTED), "routed")
 
     @cached_property
@@ -69,7 +85,12 @@ class TraceTables:
 
     @cached_property
     def generations(self) -> DataFrame:
-        return G.generation_texts(self._generations, self._routed, self.assigned)
+        return G.generation_texts(self._generations, self._routed, self.events)
+
+    @cached_property
+    def cut_generations(self) -> DataFrame:
+        """The abandoned ones of ``generations``, without texts and usage."""
+        return self._generations.where("abandoned")
 
     @cached_property
     def traces(self) -> DataFrame:

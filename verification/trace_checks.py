@@ -103,13 +103,13 @@ def persisted_sessions(spark, sf):
 
 
 both("prompt_assignment", "SELECT session_key, seq, prompt_seq, starts, repeats, closes FROM assigned",
-     lambda t: t.assigned.select("session_key", "seq", "prompt_seq", "starts", "repeats", "closes"))
+     lambda t: t.placed.select("session_key", "seq", "prompt_seq", "starts", "repeats", "closes"))
 both("prompt_segments", "SELECT session_key, prompt_seq, prompt, start_ms, end_seq, end_ms, end_kind, close_reason FROM prompts",
      lambda t: t.prompts.select("session_key", "prompt_seq", "prompt", "start_ms", "end_seq", "end_ms", "end_kind", "close_reason"))
 both("repeated_starts", "SELECT session_key, prompt_seq, count(*) AS n FROM assigned WHERE repeats GROUP BY ALL",
-     lambda t: t.assigned.where("repeats").groupBy(*T.PROMPT).agg(F.count("*").alias("n")))
+     lambda t: t.placed.where("repeats").groupBy(*T.PROMPT).agg(F.count("*").alias("n")))
 both("late_events", f"SELECT session_key, seq, kind FROM assigned WHERE prompt_seq IS NULL AND NOT {_BOUNDARY}",
-     lambda t: T.late_events(t.assigned).select("session_key", "seq", "kind"))
+     lambda t: T.late_events(t.placed).select("session_key", "seq", "kind"))
 
 
 def _stream_check(name, lifecycle_sql, random_sql, query):
@@ -147,9 +147,9 @@ both("turn_spans", "SELECT session_key, prompt_seq, turn_index, turn_number, sta
      lambda t: t.spans.select("session_key", "prompt_seq", "turn_index", "turn_number", "start_seq", "end_seq", "abandoned", "open"))
 both("turn_records", """SELECT session_key, prompt_seq, turn_index, end_ms - start_ms AS duration_ms, stop_reason, error_message, abandoned OR stop_reason IS NOT NULL AS is_error,
   CASE WHEN abandoned THEN 'turn ended during cleanup' WHEN stop_reason IS NOT NULL THEN coalesce(error_message, concat('agent turn ', stop_reason)) END AS status_message FROM turns""",
-     lambda t: t.turns.select("session_key", "prompt_seq", "turn_index", "duration_ms", "stop_reason", "error_message", "is_error", "status_message"))
+     lambda t: t.turn_verdicts.select("session_key", "prompt_seq", "turn_index", "duration_ms", "stop_reason", "error_message", "is_error", "status_message"))
 both("latest_open_turn", "SELECT session_key, prompt_seq, seq, latest_turn FROM placed",
-     lambda t: T.resolve_turns(T.inside(t.assigned).select("session_key", "prompt_seq", "seq"), t.spans).select("session_key", "prompt_seq", "seq", "latest_turn"))
+     lambda t: T.resolve_turns(T.inside(t.placed).select("session_key", "prompt_seq", "seq"), t.spans, last=t.last).select("session_key", "prompt_seq", "seq", "latest_turn"))
 
 
 @check(LIFE + "SELECT session_key, prompt_seq, latest_turn AS turn_index, seq, text, stop_reason FROM ends")
@@ -193,7 +193,7 @@ def generation_ends(spark, sf):
 
 @check(GENS + "SELECT session_key, prompt_seq, turn_index, abandoned FROM gens WHERE abandoned")
 def generation_abandonment(spark, sf):
-    return tables(spark, sf).generations.where("abandoned").select("session_key", "prompt_seq", "turn_index", "abandoned")
+    return tables(spark, sf).cut_generations.select("session_key", "prompt_seq", "turn_index", "abandoned")
 
 
 @check(GENS + "SELECT session_key, prompt_seq, turn_index, greatest(0, token_ms - start_ms) AS time_to_first_token_ms FROM gens")
@@ -215,7 +215,7 @@ def generation_scores(spark, sf):
 
 def _requests(spark, sf):
     t = tables(spark, sf)
-    events = G.generation_events(t.assigned, t.spans)
+    events = G.generation_events(t.assigned, t.spans, t.last)
     return events.where("step = 'request'")
 
 
@@ -231,7 +231,9 @@ def requests_per_turn(spark, sf):
   SELECT session_key, prompt_seq, latest_turn AS turn_index, seq, CASE WHEN payload IS DISTINCT FROM lag(payload) OVER (PARTITION BY session_key, prompt_seq, latest_turn ORDER BY seq) THEN 1 ELSE 0 END AS fresh
   FROM placed WHERE kind = 'before_provider_request' AND latest_turn IS NOT NULL) AS r""")
 def retry_collapse(spark, sf):
-    return G.collapse_retries(_requests(spark, sf)).select("session_key", "prompt_seq", "turn_index", "seq", "generation")
+    t = tables(spark, sf)
+    requests = G.generation_events(t.placed, t.spans, t.last).where("step = 'request'")
+    return G.collapse_retries(requests).select("session_key", "prompt_seq", "turn_index", "seq", "generation")
 
 
 @check(LIFE + """SELECT session_key, prompt_seq, seq, input FROM (SELECT *, last_value(CASE WHEN kind = 'context' THEN text WHEN starts THEN prompt END IGNORE NULLS) OVER (PARTITION BY session_key, prompt_seq ORDER BY seq
