@@ -1,6 +1,9 @@
 """How trace tables are built: nothing that grows is broadcast, nothing unread is built."""
 
+from pyspark.sql import functions as F
+
 from tracewell.operators import observations as O, trace as T
+from tracewell.operators.running import Running, running
 from tracewell.plans import traces
 from verification import fixtures as V
 
@@ -14,7 +17,15 @@ def test_tables_that_grow_are_never_broadcast(spark):
     named = O.propagate_identity(observed, O.traces(t.traces).withColumnRenamed("session_key", "session_id"))
     for df in (t.assigned, T.mark_boundaries(t.events), T.prompts(t.assigned), placed, t.turns, t.tools, t.generations, t.traces, named):
         plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert "Join" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_running_sorts_its_rows_once(spark):
+    rows = spark.createDataFrame([("a", i) for i in range(9)], "k string, seq long")
+    summed = running(rows, ["k"], ["seq"], {"n": Running("sum", F.lit(1))})
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+    assert [r.n for r in summed.orderBy("seq").collect()] == list(range(1, 10))
 
 
 def test_a_stage_is_built_when_it_is_read(spark, monkeypatch):

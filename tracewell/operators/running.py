@@ -103,7 +103,8 @@ def running(
             return F.greatest(carried, here)
         return F.coalesce(here, carried)
 
-    joined = rows.join(shuffled(carry), [*keys, _CHUNK], "left")
+    # hashed: a sort for the join would hold the rows a second time beside the sort of the window
+    joined = rows.join(carry.hint("shuffle_hash"), [*keys, _CHUNK], "left")
     return joined.select(
         *[F.col(c) for c in df.columns if c not in outputs],
         *[combine(name, spec).alias(name) for name, spec in outputs.items()],
