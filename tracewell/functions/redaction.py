@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType
 
 from . import patterns as P
-from .patterns import Shape, ascii_boundaries
+from .patterns import Shape, java_pattern
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -99,16 +99,16 @@ def replace_matches(
     text: Column, pattern: str, replacement: Callable[[Column], Column]
 ) -> Column:
     """Replace every match of a regex by a Column computed from that very match."""
-    matches = F.transform(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: replacement(m)
-    )
-    gaps = F.split(text, pattern, -1)
-    pieces = F.zip_with(
-        gaps,
-        F.concat(matches, F.array(F.lit(""))),
-        lambda gap, match: F.concat(gap, match),
-    )
-    return F.array_join(pieces, "")
+
+    def replaced(matches: Column) -> Column:
+        pieces = F.zip_with(
+            F.split(text, pattern, -1),
+            F.concat(F.transform(matches, replacement), F.array(F.lit(""))),
+            lambda gap, match: F.concat(gap, match),
+        )
+        return F.when(F.size(matches) == 0, text).otherwise(F.array_join(pieces, ""))
+
+    return bind(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), replaced)
 
 
 def passes_luhn(match: Column) -> Column:
@@ -126,7 +126,7 @@ def redact_shape(text: Column, shape: Shape) -> Column:
         text,
         lambda t: F.when(
             may_match(t, shape),
-            replace_matches(t, ascii_boundaries(shape.pattern), replacement),
+            replace_matches(t, java_pattern(shape), replacement),
         ).otherwise(t),
     )
 
@@ -167,7 +167,7 @@ def redact_assignments(text: Column) -> Column:
         text,
         lambda t: F.when(
             may_assign(t),
-            replace_matches(t, ascii_boundaries(P.ASSIGNMENT), replacement),
+            replace_matches(t, P.JAVA_ASSIGNMENT, replacement),
         ).otherwise(t),
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import patterns as P
-from .patterns import Shape, ascii_boundaries
+from .patterns import Shape, java_pattern
 from .redaction import (
     _assignment_part,
     bind,
@@ -31,7 +31,7 @@ def without_placeholders(text: Column) -> Column:
 
 
 def count_shape(text: Column, shape: Shape) -> Column:
-    pattern = ascii_boundaries(shape.pattern)
+    pattern = java_pattern(shape)
     if shape.luhn:
         found = F.size(
             F.filter(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), passes_luhn)
@@ -72,9 +72,7 @@ def assignment_reasons(text: Column) -> Column:
     """Reasons of ``KEY=value`` pairs with a secret key and a value not yet redacted."""
 
     def reasons(t: Column) -> Column:
-        matches = F.regexp_extract_all(
-            t, F.lit(ascii_boundaries(P.ASSIGNMENT)), F.lit(0)
-        )
+        matches = F.regexp_extract_all(t, F.lit(P.JAVA_ASSIGNMENT), F.lit(0))
         kept = F.filter(
             matches,
             lambda m: is_sensitive_key(_assignment_part(m, 1))
