@@ -136,3 +136,12 @@ def test_plus_signs_and_relative_roots(spark, monkeypatch):
     monkeypatch.chdir(root)
     paths = {r.path for r in read_layers(spark, str(root / "sessions"), None).collect()}
     assert paths == {"sessions/a+b.jsonl", "sessions/x/same.jsonl", "sessions/y/same.jsonl"}
+
+
+def test_lines_are_read_as_templates_once(spark):
+    """No level of a line costs a projection of its own, and brackets are counted only where there are enough of them."""
+    rows = spark.createDataFrame([("session", nested(40, '{"password":"abcdefgh1","n":1.50}'), 1)], "layer string, value string, n int")
+    out = redact_lines(rows)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "variant" not in plan.lower()
+    assert out.first().clean.startswith('{"a":' * 40 + '{"n":1.50,"password":"[REDACTED:password:')

@@ -6,16 +6,16 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.redaction import placeholder, redact_columns, strip_path_roots
-from ..operators import gates, literals
+from ..functions.redaction import placeholder, strip_path_roots
+from ..operators import gates
 from ..operators.outline import redact_json
-from ..operators.tree import json_depth, shape_export
+from ..operators.tree import json_depth
 from ..sources.files import publish, write_parts
 from ..sources.jsonl import list_layers, read_layers
 from .workspace import drop_stage, materialize, stage_path
 
 FILE_KEYS = ("layer", "path")
-#: Levels that a line may be nested; the walk is one projection for each level that the data has.
+#: Levels that a line of :func:`redact_lines` may be nested.
 DEEPEST = 64
 TRAINING_FORMAT = "redacted-jsonl-derivative"
 
@@ -26,29 +26,20 @@ def redact_lines(
     secrets: Sequence[tuple[str, str]] = (),
     depth: int | None = None,
 ) -> DataFrame:
-    """Add ``clean`` and ``refused``.
+    """Add ``clean`` and ``refused``: :func:`redact_records`, but for lines nested deeper than DEEPEST.
 
-    JSON lines are redacted as trees, whatever their depth, with the last of repeated keys and
-    with numbers as they stand; other lines as text, blank lines are as they were; source roots
-    are stripped from all of them.  A JSON line that can't be walked (nested deeper than DEEPEST,
-    or too large for a VARIANT) is refused: a placeholder takes its place.
+    JSON lines are redacted as trees, with the last of repeated keys and with numbers as they
+    stand; other lines as text, blank lines are as they were; source roots are stripped from all
+    of them.  What begins as an object or an array and is nested deeper than DEEPEST is refused: a
+    placeholder takes its place.
     """
-    blank = F.trim("value") == ""
-    rows = lines.withColumn("__line", literals.prepared(F.when(~blank, F.rtrim("value"))))
-    deep = json_depth(F.coalesce("__line", "value")) > DEEPEST
-    unread = F.col("__line").isNotNull() & F.try_parse_json("__line").isNull()
-    # what looks like one JSON value and can't be read as such: get_json_object reads repeated keys and any depth
-    hidden = F.col("__line").isNull() & F.ltrim("value").rlike(r"^[\[{]") & F.get_json_object("value", "$").isNotNull()
-    rows = rows.withColumn("refused", ~blank & (F.coalesce(unread, F.lit(False)) | hidden | (deep & F.ltrim("value").rlike(r"^[\[{]"))))
-    rows = rows.withColumn("__line", F.when(~F.col("refused"), F.col("__line")))
-    shaped = shape_export(rows, "__line", "__json", secrets=secrets, depth=depth, marked=True)
-    texts = shaped.withColumn("__text", F.when(F.col("__json").isNull() & ~blank & ~F.col("refused"), F.col("value")))
-    redacted = redact_columns(texts, "__text", secrets=secrets)
-    clean = F.when(F.col("refused"), placeholder("structured-value", F.col("value"))).otherwise(
-        F.coalesce(literals.unguarded(F.col("__json")), F.col("__text"), F.col("value")))
-    return redacted.withColumn("clean", strip_path_roots(clean, roots)).drop(
-        "__line", "__json", "__text"
-    )
+    value = F.col("value")
+    openers = [F.length(value) - F.length(F.replace(value, F.lit(c), F.lit(""))) for c in "{["]
+    nested = F.ltrim(value).rlike(r"^[\[{]") & (openers[0] + openers[1] > DEEPEST)
+    refused = F.when(nested, json_depth(value) > DEEPEST).otherwise(F.lit(False))
+    rows = redact_records(lines.withColumn("refused", refused), (), secrets, depth)
+    clean = F.when(F.col("refused"), placeholder("structured-value", value)).otherwise(F.col("clean"))
+    return rows.withColumn("clean", strip_path_roots(clean, roots))
 
 
 def redact_records(
@@ -58,7 +49,7 @@ def redact_records(
     depth: int | None = None,
     by_name: bool = True,
 ) -> DataFrame:
-    """Add ``clean``: what :func:`redact_lines` adds, for lines of any depth and size; none is refused.
+    """Add ``clean``: lines redacted as templates, of any depth and size; none is refused.
 
     Members come out by name, or as they stand in the line.  Known secrets may be a table.  A
     given ``depth`` hides what lies below so many levels.
