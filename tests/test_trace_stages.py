@@ -37,3 +37,11 @@ def test_a_stage_is_built_when_it_is_read(spark, monkeypatch):
     assert t.traces.select("verdict").count() > 0
     texts = {"payload", "text", "delta", "args", "result", "output", "system_prompt"}
     assert not [label for label, columns in built if texts & set(columns)]
+
+
+def test_random_stream_queries_broadcast_nothing(spark):
+    """The join of assigned events with prompts, turns and tools is a shuffle, however small its files are."""
+    t = traces.build_traces(V.random_stream(spark, SF))
+    for df in (T.tool_texts(t._calls, t.events), T.turn_outputs(t.turn_verdicts, t.events), T.prompt_texts(t._prompts, t.events)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and "Broadcast" not in plan
