@@ -130,6 +130,18 @@ def test_search_equals_sql(spark):
     assert out == sorted(want)
 
 
+def test_pairs_beyond_the_distance_asked_for_do_not_leave_the_join(spark):
+    rng = np.random.default_rng(5)
+    codes = rng.integers(0, 1 << 16, (300, 4)).tolist()
+    index = spark.createDataFrame([(c, i) for i, c in enumerate(codes)], "code array<int>, first bigint").select("code", "first", F.posexplode("code").alias("segment", "value"))
+    asked = spark.createDataFrame([(codes[i], most) for i, most in ((0, 64), (1, 24), (2, 0))], "query array<int>, most int")
+    apart = lambda a, b: [(x ^ y).bit_count() for x, y in zip(a, b, strict=True)]
+    for radius in (0, 2, 4):
+        met = hamming.met_pairs(asked, index, radius, 4)
+        want = sorted((q, i) for q, most in ((0, 64), (1, 24), (2, 0)) for i, c in enumerate(codes) if min(w := apart(codes[q], c)) == radius and sum(w) <= most)
+        assert sorted((codes.index(list(r.query)), r["first"]) for r in met.collect()) == want
+
+
 def test_search_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert hamming.top_k(df, "vec_id", "embedding", 3, F.lit(True)).collect() == []

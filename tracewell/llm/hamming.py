@@ -3,10 +3,13 @@
 A code is cut into segments, and indexed under the value of each.  Two codes within distance
 m * (r + 1) - 1 differ by r bits at most in one of m segments, so segments are probed with all
 values at distance 0, then 1, and so on, until the k-th verified distance is below what is covered.
+The join of a round keeps only pairs that are not farther than the k-th of the rounds before.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -28,41 +31,48 @@ def sign_code(vector: str, dims: int) -> Column:
     return F.array(*[segment(s) for s in range(0, dims, SEGMENT)])
 
 
-def _weights(a: Column, b: Column) -> Column:
-    return F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda x: F.bit_count(x["a"].bitwiseXOR(x["b"])))
-
-
 def _best(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query").orderBy("distance", "first")
     return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).drop("place")
 
 
+def met_pairs(asked: DataFrame, index: DataFrame, radius: int, segments: int) -> DataFrame:
+    """Pairs (query, code, first, distance) whose nearest segments differ by ``radius`` bits.
+
+    ``asked`` has each query with the distance (``most``) beyond which nothing is wanted of it; pairs farther
+    apart don't leave the join.  Each pair is met once: in the first of its nearest segments.
+    """
+    masks = [m for m in range(1 << SEGMENT) if m.bit_count() == radius]
+    probes = asked.select("query", "most", F.posexplode("query").alias("segment", "own")).select(
+        "query", "most", "segment", F.explode(F.transform(F.lit(np.array(masks, np.int32)), lambda m: m.bitwiseXOR(F.col("own")))).alias("value"))
+    weights = [F.bit_count(F.col("query")[i].bitwiseXOR(F.col("code")[i])).cast("int") for i in range(segments)]
+    distance = sum(weights[1:], weights[0])
+    once = [w >= F.when(F.col("segment") > i, radius + 1).otherwise(radius) for i, w in enumerate(weights)]
+    # the probes are many more than the queries they come from, which their estimate doesn't show: never broadcast them
+    met = probes.join(index.hint("shuffle_hash"), ["segment", "value"]).filter(reduce(Column.__and__, once, distance <= F.col("most")))
+    return met.select("query", "code", "first", distance.alias("distance"))
+
+
 def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, segments: int) -> DataFrame:
     """For each code of ``queries`` (code) the k nearest of ``codes`` (code, first): query, code, first, distance.
 
     Both hold each code once.  Ties go to the smaller ``first``.
     """
-    codes, remaining = stage(codes, "codes"), stage(queries.select(F.col("code").alias("query")), "queries")
+    codes, remaining = stage(codes, "codes"), stage(queries.select(F.col("code").alias("query"), F.lit(segments * SEGMENT).alias("most")), "queries")
     least = min(k, codes.count())
     index = codes.select("code", "first", F.posexplode("code").alias("segment", "value"))
     done: DataFrame | None = None
     found: DataFrame | None = None
     for radius in range(SEGMENT + 1):
-        masks = [m for m in range(1 << SEGMENT) if m.bit_count() == radius]
-        probes = remaining.select("query", F.posexplode("query").alias("segment", "own")).select(
-            "query", "segment", F.explode(F.transform(F.lit(np.array(masks, np.int32)), lambda m: m.bitwiseXOR(F.col("own")))).alias("value"))
-        # the probes are many more than the queries they come from, which their estimate doesn't show: never broadcast them
-        met = probes.join(index.hint("shuffle_hash"), ["segment", "value"]).withColumn("weights", _weights(F.col("query"), F.col("code")))
-        # each pair is met once: in the first of the segments with the fewest differing bits
-        once = met.filter(F.array_position("weights", F.array_min("weights")) - 1 == F.col("segment")).filter(F.array_min("weights") == radius)
-        new = once.select("query", "code", "first", F.aggregate("weights", F.lit(0), lambda x, y: x + y).alias("distance"))
+        new = met_pairs(remaining, index, radius, segments)
         found = stage(_best(new if found is None else found.unionByName(new), k), "found")
         covered = segments * (radius + 1) - 1
-        state = found.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("last"))
-        closed = state.filter((F.col("n") >= least) & ((F.col("last") <= covered) | F.lit(radius == SEGMENT))).select("query")
+        state = found.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("last")).filter(F.col("n") >= least)
+        closed = state.filter((F.col("last") <= covered) | F.lit(radius == SEGMENT)).select("query")
         finished = found.join(closed, "query", "left_semi")
         done = finished if done is None else done.unionByName(finished)
-        remaining = stage(remaining.join(closed, "query", "left_anti"), "queries")
+        remaining = remaining.join(closed, "query", "left_anti").join(state, "query", "left").select("query", F.coalesce("last", "most").alias("most"))
+        remaining = stage(remaining, "queries")
         found = found.join(closed, "query", "left_anti")
         if remaining.isEmpty():
             break
