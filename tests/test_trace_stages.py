@@ -45,3 +45,12 @@ def test_random_stream_queries_broadcast_nothing(spark):
     for df in (T.tool_texts(t._calls, t.events), T.turn_outputs(t.turn_verdicts, t.events), T.prompt_texts(t._prompts, t.events)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Join" in plan and "Broadcast" not in plan
+
+
+def test_first_results_meet_no_events_of_other_kinds(spark):
+    t = traces.build_traces(V.lifecycle(spark, SF))
+    plan = t.first_results._jdf.queryExecution().optimizedPlan().toString()
+    sides = plan.split("Join", 1)[1]
+    assert sides.count("tool_result)") >= 2 and "Broadcast" not in plan
+    wide = T.first_seen_results(t.assigned).select(*t.first_results.columns)
+    assert wide.count() > 0 and sorted(map(str, wide.collect())) == sorted(map(str, t.first_results.collect()))

@@ -74,6 +74,10 @@ class TraceTables:
     def tools(self) -> DataFrame:
         return T.tool_texts(self._calls, self.events)
 
+    @cached_property
+    def first_results(self) -> DataFrame:
+        return T.first_results(self.placed, self.events)
+
     @cached_property
     def _routed(self) -> DataFrame:
         routed = G.route(G.generation_events(self.placed, self.spans, self.last))

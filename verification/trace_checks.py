@@ -166,7 +166,7 @@ both("tool_progress", "SELECT session_key, prompt_seq, tool_call_id, partial FRO
 both("tool_abandonment", "SELECT session_key, prompt_seq, tool_call_id, status FROM tools WHERE status IN ('abandoned', 'result-only')",
      lambda t: t.tools.where("status IN ('abandoned', 'result-only')").select("session_key", "prompt_seq", "tool_call_id", "status"))
 both("first_seen_results", """SELECT session_key, prompt_seq, tool_call_id, seq, result, is_error FROM (SELECT *, row_number() OVER (PARTITION BY session_key, prompt_seq, tool_call_id ORDER BY seq) AS n FROM placed WHERE kind = 'tool_result') AS r WHERE n = 1""",
-     lambda t: T.first_seen_results(t.assigned).select("session_key", "prompt_seq", "tool_call_id", "seq", "result", "is_error"))
+     lambda t: t.first_results.select("session_key", "prompt_seq", "tool_call_id", "seq", "result", "is_error"))
 both("tool_error_scores", "SELECT session_key, prompt_seq, tool_call_id, 'tool_is_error' AS name, 1.0 AS value FROM tools WHERE is_error",
      lambda t: T.tool_error_scores(t.tools))
 
