@@ -64,3 +64,40 @@ def test_stretches_are_cut_where_no_word_reaches_over(library):
             cut = flat[start:end].to_pylist()
             assert "".join(cut) == text
             assert [w for s in cut for w in word.findall(s)] == word.findall(text)
+
+
+def test_no_row_of_a_chunk_holds_all_of_it():
+    """A chunk goes through the JVM as rows of bounded size, in place of one row that grows with it."""
+    texts = [" ".join(f"w{chr(97 + i % 26)}{(i * 200 + j) % 40000:x}" for j in range(200)) for i in range(2000)]
+    docs = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(2000), pa.int64()), "text": texts})
+    sizes = [b.nbytes for b in byte_bpe._chunker(public_tokenizers.PATTERN, byte_bpe.aligned_pattern(public_tokenizers.PATTERN))([docs])]
+    assert sum(sizes) > 1_600_000  # the places of all words
+    assert max(sizes) < 500_000
+
+
+def test_words_of_plain_stretches_are_those_of_the_pattern():
+    import regex
+
+    rng = random.Random(5)
+    stretches = ["", " ", "don't", "don'", " it's,", "éÀÿ.", "×÷", " a1", " 12,", "1½", " _a", "a_", " a\n", "a\n\nb", "ª.", "aé", "", " 's"]
+    stretches += ["".join(rng.choice(" abÀé×19²'.,_|~\ń中") for _ in range(rng.randint(0, 6))) for _ in range(3000)]
+    stretches = list(dict.fromkeys(stretches))
+    patterns = public_tokenizers.PATTERN, byte_bpe.aligned_pattern(public_tokenizers.PATTERN)
+    word = regex.compile(patterns[1])
+    chunk = byte_bpe._Chunk(patterns)
+    assert chunk.plain
+    for plain in (True, False):
+        chunk.plain = plain
+        words, places, counts = chunk._words(pa.array(stretches))
+        listed = words.to_pylist()
+        assert len(listed) == len(set(listed))
+        found = iter(places)
+        assert [[listed[next(found)] for _ in range(n)] for n in counts] == [word.findall(s) for s in stretches]
+
+
+def test_chunks_without_words(spark, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CHUNK_STRETCHES", 1)
+    monkeypatch.setattr(byte_bpe, "ROWS", 1)
+    rows = [(i, None if i % 3 else f"a {i}") for i in range(12)]
+    out = byte_bpe.encode_documents(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted((r.doc_id, bytes(r.decoded)) for r in out) == [(i, (t or "").encode()) for i, t in rows]

@@ -2,13 +2,15 @@
 
 A text is cut into words by a pattern.  The documents of a task become chunks: the distinct
 words of their texts, and for each document the places of its words among them.  A distinct
-word's bytes, one character each (ISO 8859-1), are an array that is folded: each step joins the
-neighbours whose join has the lowest rank in a literal map, until no join has one.  Decoding
-concatenates the binary pieces of the ids.  Then each document takes what its words became.
+word is a string of a character for each byte (ISO 8859-1), and every longer piece has a
+character of its own.  The string is folded: the merges of its parts that have a rank, in the
+order of the ranks, each put the character of a piece for the two it is joined of.  Decoding
+concatenates the pieces of the ids.  Then each document takes what its words became.
 
 Nothing is shuffled or broadcast, and a chunk is bounded but for its last document, so the
-work grows with the texts.  Spark looks a key up in a map by scanning it, so the rank map is
-an array of small maps by the hash of a key.
+work grows with the texts.  A chunk travels as rows of bounded size, its words before its
+documents, so no task holds a row as large as a chunk.  Spark looks a key up in a map by
+scanning it, so the rank map is an array of small maps by the hash of a key.
 """
 
 from __future__ import annotations
@@ -17,8 +19,6 @@ import base64
 import itertools
 import json
 import re
-from array import array
-from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -34,17 +34,22 @@ from .common import map_batches, table
 BUCKETS = 1 << 16
 #: Words of more bytes join all occurrences of the lowest rank in a step, shorter ones the first.
 LONG_WORD = 64
-#: Stretches between spaces after which a chunk ends, and words put together at once.
+#: Stretches between spaces after which a chunk ends, and words put together at once, in a row.
 CHUNK_STRETCHES, AT_ONCE = 5_000_000, 100_000
+#: Distinct words of a row.
+ROW_WORDS = 1000
 #: Documents cut at once.
-ROWS = 500
+ROWS = 2000
 
 _BYTES = "ISO-8859-1"
 _CUT = re.compile(r"(?<=\S)(?= )")
 #: White space before a space, where ``_CUT`` doesn't cut, or the character that marks where it does.
 _WIDE = "[" + "".join(f"\\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace()) + "] |\\x00"
-#: Marks around a piece; beyond the 256 characters that stand for bytes.
-_OPEN, _CLOSE = "\u0100", "\u0101"
+#: The pattern of GPT-2, and stretches that it cuts in one or two words: letters or digits of the same kind in all versions of Unicode, then ASCII signs.
+_GPT2 = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_PLAIN = r"^(?P<word> ?(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+))(?P<signs>[!-/:-@\[-`{-~]*)$"
+#: The same of another pattern: none.
+_NONE = r"\z(?P<word>.)(?P<signs>.)"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -118,53 +123,44 @@ def last_pairs(ranks: dict[bytes, int]) -> dict[bytes, tuple[bytes, bytes]]:
     return out
 
 
-def _pieces(marked: Column) -> Column:
-    """The pieces of a marked word."""
-    inner = F.substr(marked, F.lit(2), F.length(marked) - 2)
-    return F.split(F.replace(inner, F.lit(_CLOSE + _OPEN), F.lit(_CLOSE)), _CLOSE)
+def token_character(rank: int, piece: bytes) -> str:
+    """The character that a piece is in a folded word: that of its byte, or one beyond the 256 of bytes that is no surrogate."""
+    if len(piece) == 1:
+        return piece.decode(_BYTES)
+    return chr(256 + rank if 256 + rank < 0xD800 else 256 + rank + 0x800)
 
 
-def _merge_ranked(word: Column, start: Column, spans: Column, find: Callable[[Column], Column]) -> Column:
-    """The merges that the parts of a word allow, folded over the marked word in the order of their ranks.
+def _merge_ranked(word: Column, spans: Column, find: Callable[[Column], Column], tokens: Column) -> Column:
+    """The merges that the parts of a word allow, folded over the word in the order of their ranks.
 
     A merge replaces its pair wherever the two stand side by side, from the left; a join never has
     a lower rank than its parts, so one pass does.  ``spans`` has the parts of words of each length.
     """
     parts = F.transform(F.get(spans, F.length(word)), lambda part: F.substr(word, part["at"], part["n"]))
-    merges = F.sort_array(F.filter(F.transform(parts, find), lambda merge: merge.isNotNull()))
-    return F.aggregate(merges, start, lambda state, merge: F.replace(state, merge["pair"], merge["piece"]))
+    merges = F.sort_array(F.array_compact(F.transform(parts, find)))
+    return F.aggregate(merges, word, lambda state, rank: F.replace(state, F.get(tokens, rank)["pair"], F.get(tokens, rank)["token"]))
 
 
-def _merge_rounds(word: Column, start: Column, find: Callable[[Column], Column]) -> Column:
+def _merge_rounds(word: Column, find: Callable[[Column], Column], tokens: Column, ids: Callable[[Column], Column]) -> Column:
     """The same for a long word: each step looks up the pairs there are and joins all of the lowest rank."""
 
     def step(state: Column) -> Column:
-        pairs = let(_pieces(state["word"]), lambda p: F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda a, b: find(F.concat(a, b))))
-        least = F.array_min(F.filter(pairs, lambda merge: merge.isNotNull()))
-        after = let(least, lambda merge: F.struct(
-            F.when(merge.isNull(), state["word"]).otherwise(F.replace(state["word"], merge["pair"], merge["piece"])).alias("word"),
-            merge.isNotNull().alias("open"),
+        pieces = F.transform(ids(state["word"]), lambda i: F.get(tokens, i)["piece"])
+        ranks = let(pieces, lambda p: F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda a, b: find(F.concat(a, b))))
+        after = let(F.array_min(ranks), lambda rank: F.struct(
+            F.when(rank.isNull(), state["word"]).otherwise(F.replace(state["word"], F.get(tokens, rank)["pair"], F.get(tokens, rank)["token"])).alias("word"),
+            rank.isNotNull().alias("open"),
         ))
         return F.when(state["open"], after).otherwise(state)
 
     steps = F.sequence(F.lit(2), F.length(word))
-    return F.aggregate(steps, F.struct(start.alias("word"), F.lit(True).alias("open")), lambda state, _: step(state), lambda state: state["word"])
+    return F.aggregate(steps, F.struct(word.alias("word"), F.lit(True).alias("open")), lambda state, _: step(state), lambda state: state["word"])
 
 
-def merged(word: Column, spans: Column, find: Callable[[Column], Column]) -> Column:
-    """The ids of the pieces that a marked word (a character for each byte, each in marks) ends as."""
-
-    def ids(letters: Column) -> Column:
-        folded = F.when(F.length(letters) > LONG_WORD, _merge_rounds(letters, word, find)).otherwise(_merge_ranked(letters, word, spans, find))
-        cut = F.transform(let(folded, _pieces), lambda piece: find(piece)["rank"])
-        return let(find(letters), lambda whole: F.when(whole.isNotNull(), F.array(whole["rank"])).otherwise(cut))
-
-    return let(F.translate(word, _OPEN + _CLOSE, ""), ids)
-
-
-def marked(word: bytes) -> str:
-    """A word's bytes, a character for each (ISO 8859-1), each in marks."""
-    return _OPEN + (_CLOSE + _OPEN).join(word.decode(_BYTES)) + _CLOSE
+def merged(word: Column, spans: Column, find: Callable[[Column], Column], tokens: Column, ids: Callable[[Column], Column]) -> Column:
+    """The ids of the pieces that a word (a character for each byte) ends as."""
+    folded = F.when(F.length(word) > LONG_WORD, _merge_rounds(word, find, tokens, ids)).otherwise(_merge_ranked(word, spans, find, tokens))
+    return ids(F.coalesce(F.get(tokens, find(word))["token"], folded))
 
 
 class Codec:
@@ -173,28 +169,38 @@ class Codec:
     def __init__(self, spark: SparkSession, path: str):
         ranks = read_ranks(path)
         pairs = last_pairs(ranks)
-        pieces = [""] * (max(ranks.values(), default=-1) + 1)
-        merges = {}
+        token = {piece: token_character(rank, piece) for piece, rank in ranks.items()}
+        tokens: list[dict[str, str] | None] = [None] * (max(ranks.values(), default=-1) + 1)
+        by_character: list[int | None] = [None] * (max(map(ord, token.values()), default=-1) + 1)
         for piece, rank in ranks.items():
-            pieces[rank] = piece.hex()
-            pair = "".join(_OPEN + part.decode(_BYTES) + _CLOSE for part in pairs.get(piece, (piece,)))
-            merges[piece.decode(_BYTES)] = {"rank": rank, "pair": pair, "piece": _OPEN + piece.decode(_BYTES) + _CLOSE}
-        self._merges = bucketed(spark, merges, "struct<rank:int,pair:string,piece:string>")
-        self._pieces = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
+            pair = "".join(token[part] for part in pairs.get(piece, (piece,)))
+            tokens[rank] = {"pair": pair, "token": token[piece], "piece": piece.decode(_BYTES)}
+            by_character[ord(token[piece])] = rank
+        self._ranks = bucketed(spark, {piece.decode(_BYTES): rank for piece, rank in ranks.items()}, "int")
+        self._tokens = F.from_json(F.lit(json.dumps(tokens)), "array<struct<pair:string,token:string,piece:string>>")
+        self._by_character = F.from_json(F.lit(json.dumps(by_character)), "array<int>")
         spans = [[{"at": at, "n": n} for at in range(1, length) for n in range(2, length - at + 2)] for length in range(LONG_WORD + 1)]
         self._spans = F.from_json(F.lit(json.dumps(spans)), "array<array<struct<at:int,n:int>>>")
 
     def encode_all(self, words: Column) -> Column:
-        """An array of marked words as an array of their ids; each literal stands in the plan once."""
-        ids = lambda table, spans: F.transform(words, lambda word: merged(word, spans, lambda piece: looked_up(table, piece)))
-        return let(self._merges, lambda table: let(self._spans, lambda spans: ids(table, spans)))
+        """An array of words (a character for each byte) as an array of their ids; each literal stands in the plan once."""
+
+        def encoded(ranks: Column, tokens: Column, by_character: Column, spans: Column) -> Column:
+            ids = lambda state: F.transform(F.split(state, ""), lambda c: F.get(by_character, F.ascii(c)))
+            return F.transform(words, lambda word: merged(word, spans, lambda piece: looked_up(ranks, piece), tokens, ids))
+
+        return let(self._ranks, lambda ranks: let(self._tokens, lambda tokens: let(self._by_character, lambda characters: let(
+            self._spans, lambda spans: encoded(ranks, tokens, characters, spans)
+        ))))
 
     def decode_all(self, ids: Column) -> Column:
         """An array of ids as an array of the bytes they stand for: the pieces of each, one after another."""
-        return let(self._pieces, lambda table: F.transform(ids, lambda row: F.unhex(F.array_join(F.transform(row, lambda i: F.get(table, i)), ""))))
+        decoded = lambda tokens, row: F.encode(F.array_join(F.transform(row, lambda i: F.get(tokens, i)["piece"]), ""), _BYTES)
+        return let(self._tokens, lambda tokens: F.transform(ids, lambda row: decoded(tokens, row)))
 
 
-_CHUNK = "doc_ids array<bigint>, counts array<int>, places array<int>, words array<string>"
+#: Rows of a chunk: those of its words, then those of its documents.
+_CHUNK = "chunk int, words array<string>, doc_ids array<bigint>, counts array<int>, places array<int>"
 
 
 def _stretches(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -210,45 +216,68 @@ def _stretches(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return pa.array(itertools.chain.from_iterable(lists), pa.string()), np.cumsum([len(x) for x in lists])
 
 
+def _row(chunk: int, words: pa.Array, doc_ids: pa.Array, counts: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+    columns = words, doc_ids, pa.array(counts, pa.int32()), pa.array(places, pa.int32())
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), *lists], ["chunk", "words", "doc_ids", "counts", "places"])
+
+
 class _Chunk:
     """Documents, and the places of their stretches among the distinct ones; the first pattern is for ASCII."""
 
-    def __init__(self, patterns: tuple[str, str]):
+    def __init__(self, patterns: tuple[str, str], number: int = 0):
+        self.plain = patterns[0] == _GPT2
         self.word, self.ascii_word = regex.compile(patterns[1]), regex.compile(patterns[0])
-        self.ids, self.places, self.lengths, self.held = [], [], [], 0
-        self.stretches: dict[str, int] = defaultdict(itertools.count().__next__)
+        self.number, self.ids, self.stretches, self.lengths, self.held = number, [], [], [], 0
 
     def add(self, doc_ids: pa.Array, texts: pa.Array) -> None:
         flat, ends = _stretches(pc.fill_null(texts, ""))
-        encoded = flat.dictionary_encode()
-        numbers = np.fromiter(map(self.stretches.__getitem__, encoded.dictionary.to_pylist()), np.int32, len(encoded.dictionary))
-        self.ids += doc_ids.to_pylist()
-        self.places.append(numbers[encoded.indices.to_numpy()])
+        self.ids.append(pa.concat_arrays([doc_ids]))
+        self.stretches.append(flat.dictionary_encode())
         self.lengths.append(np.diff(ends, prepend=0))
         self.held += len(flat)
 
-    def batch(self) -> pa.RecordBatch:
-        """The documents with the places of their words among the distinct words, which are marked; the chunk is empty then."""
-        words: dict[str, int] = defaultdict(itertools.count().__next__)
-        lengths, flat = np.empty(len(self.stretches), np.int64), array("i")
-        for i, stretch in enumerate(self.stretches):
-            cut = (self.ascii_word if stretch.isascii() else self.word).findall(stretch)
-            lengths[i] = len(cut)
-            flat.extend(map(words.__getitem__, cut))
+    def _words(self, stretches: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The distinct words of distinct stretches, the places of those of each stretch among them, and their number."""
+        cut = pc.extract_regex(stretches, _PLAIN if self.plain else _NONE)
+        plain = np.asarray(cut.is_valid())
+        cut = cut.drop_null()
+        head, tail = cut.field("word"), cut.field("signs")
+        signs = np.asarray(pc.not_equal(tail, ""), bool)
+        others = [(self.ascii_word if s.isascii() else self.word).findall(s) for s in stretches.filter(pa.array(~plain)).to_pylist()]
+        counts = np.empty(len(stretches), np.int64)
+        counts[plain], counts[~plain] = 1 + signs, np.fromiter(map(len, others), np.int64, len(others))
+        starts = np.cumsum(counts) - counts
+        at = [starts[plain], starts[plain][signs] + 1, _taken(np.arange(counts.sum()), starts[~plain], counts[~plain])]
+        listed = pa.concat_arrays([head, tail.filter(pa.array(signs)), pa.array(itertools.chain.from_iterable(others), pa.string())]).dictionary_encode()
+        places = np.empty(len(listed), np.int32)
+        places[np.concatenate(at)] = listed.indices.to_numpy()
+        return listed.dictionary, places, counts
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """The distinct words, then the documents with the places of their words among these; the chunk is empty then."""
+        encoded = pa.chunked_array(self.stretches).unify_dictionaries()
         self.stretches.clear()
-        listed = pa.array((marked(w.encode()) for w in words), pa.string(), size=len(words))
-        words.clear()
-        stretches, sizes = np.concatenate(self.places), np.concatenate([[0], *self.lengths])
-        self.places.clear()
-        places = _taken(np.frombuffer(flat, np.int32), (np.cumsum(lengths) - lengths)[stretches], lengths[stretches])
-        counts = np.diff(np.concatenate([[0], np.cumsum(lengths[stretches])])[np.cumsum(sizes)])
-        columns = pa.array(self.ids, pa.int64()), pa.array(counts, pa.int32()), pa.array(places, pa.int32()), listed
+        words, flat, lengths = self._words(encoded.chunk(0).dictionary)
+        stretches = np.concatenate([c.indices.to_numpy() for c in encoded.chunks])
+        encoded = None
+        places = _taken(flat, (np.cumsum(lengths) - lengths)[stretches], lengths[stretches])
+        ends = np.concatenate([[0], np.cumsum(lengths[stretches])])[np.cumsum(np.concatenate([[0], *self.lengths]))]
+        stretches = flat = lengths = None
+        doc_ids = pa.concat_arrays(self.ids)
         pa.default_memory_pool().release_unused()  # the worker stays while the chunk is folded
-        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns], ["doc_ids", "counts", "places", "words"])
+        for at in range(0, len(words), ROW_WORDS):
+            some = pa.array([w.encode().decode(_BYTES) for w in words[at : at + ROW_WORDS].to_pylist()], pa.string())
+            yield _row(self.number, some, doc_ids[:0], ends[:0], places[:0])
+        at = 0
+        while at < len(doc_ids):
+            until = max(at + 1, int(np.searchsorted(ends, ends[at] + AT_ONCE, "right")) - 1)
+            yield _row(self.number, words[:0], doc_ids[at:until], np.diff(ends[at : until + 1]), places[ends[at] : ends[until]])
+            at = until
 
 
 def _chunker(*patterns: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Cuts the documents of a task into chunks, a row each."""
+    """Cuts the documents of a task into chunks."""
 
     def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = _Chunk(patterns)
@@ -257,11 +286,11 @@ def _chunker(*patterns: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa
                 rows = batch.slice(at, ROWS)
                 chunk.add(rows.column("doc_id"), rows.column("text"))
                 if chunk.held >= CHUNK_STRETCHES:
-                    yield chunk.batch()
-                    chunk = _Chunk(patterns)
+                    yield from chunk.rows()
+                    chunk = _Chunk(patterns, chunk.number + 1)
         batch = rows = None  # not held while the last chunk is folded
         if chunk.ids:
-            yield chunk.batch()
+            yield from chunk.rows()
 
     return chunks
 
@@ -272,27 +301,36 @@ def _taken(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return values[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+def _joined(ids: list[pa.Array], pieces: list[pa.Array]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The ids and the bytes of a chunk's words: the bounds of each word's among all, and all."""
+    ids, pieces = pa.concat_arrays(ids), pa.concat_arrays(pieces)
+    offsets = np.frombuffer(pieces.buffers()[1], np.int32)[: len(pieces) + 1]
+    values = ids.values.to_numpy().astype("<u4"), np.frombuffer(pieces.buffers()[2] or b"", np.uint8)
+    return [(ids.offsets.to_numpy().astype(np.int64), values[0]), (offsets.astype(np.int64), values[1])]
+
+
 def _documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ids and bytes of each document of a chunk, from those of its words."""
+    """The ids and bytes of each document of a chunk, from those of its words, which come first."""
+    chunk, held, words = None, ([], []), []
     for batch in batches:
         for row in range(len(batch)):
-            doc_ids, counts, places, ids, pieces = (batch.column(c)[row].values for c in ("doc_ids", "counts", "places", "ids", "bytes"))
-            places, ends = places.to_numpy(), np.concatenate([[0], np.cumsum(counts.to_numpy())])
-            offsets = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1] if len(pieces) else np.zeros(1)
-            starts = [ids.offsets.to_numpy().astype(np.int64), offsets.astype(np.int64)]
-            values = [ids.values.to_numpy().astype("<u4"), np.frombuffer(pieces.buffers()[2] or b"", np.uint8)]
-            at = 0
-            while at < len(doc_ids):
-                until = max(at + 1, int(np.searchsorted(ends, ends[at] + AT_ONCE, "right")) - 1)
-                words = places[ends[at] : ends[until]]
-                made = []
-                for start, value in zip(starts, values, strict=True):
-                    lengths = np.diff(start)[words]
-                    data = _taken(value, start[words], lengths)
-                    bounds = np.concatenate([[0], np.cumsum(lengths)])[ends[at : until + 1] - ends[at]] * value.itemsize
-                    made.append(pa.Array.from_buffers(pa.large_binary(), until - at, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary()))
-                yield pa.RecordBatch.from_arrays([doc_ids.slice(at, until - at), *made], ["doc_id", "ids", "decoded"])
-                at = until
+            number, doc_ids = batch.column("chunk")[row].as_py(), batch.column("doc_ids")[row].values
+            if number != chunk:
+                chunk, words = number, []
+            if not len(doc_ids):
+                for arrays, column in zip(held, ("ids", "bytes"), strict=True):
+                    arrays.append(pa.concat_arrays([batch.column(column)[row].values]))
+                continue
+            if held[0]:
+                words, held = _joined(*held), ([], [])
+            counts, places = (batch.column(c)[row].values.to_numpy() for c in ("counts", "places"))
+            ends, made = np.concatenate([[0], np.cumsum(counts)]), []
+            for start, value in words or [(np.zeros(1, np.int64), np.empty(0, t)) for t in ("<u4", np.uint8)]:
+                lengths = np.diff(start)[places]
+                data = _taken(value, start[places], lengths)
+                bounds = np.concatenate([[0], np.cumsum(lengths)])[ends] * value.itemsize
+                made.append(pa.Array.from_buffers(pa.large_binary(), len(doc_ids), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary()))
+            yield pa.RecordBatch.from_arrays([doc_ids, *made], ["doc_id", "ids", "decoded"])
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -305,7 +343,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     codec = Codec(docs.sparkSession, path)
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chunks = map_batches(source, _chunker(pattern, aligned_pattern(pattern)), _CHUNK)
-    encoded = chunks.select("doc_ids", "counts", "places", codec.encode_all(F.col("words")).alias("ids"))
+    encoded = chunks.select("chunk", "doc_ids", "counts", "places", codec.encode_all(F.col("words")).alias("ids"))
     decoded = encoded.select("*", codec.decode_all(F.col("ids")).alias("bytes"))
     out = map_batches(decoded, _documents, "doc_id bigint, ids binary, decoded binary")
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids", "decoded")
